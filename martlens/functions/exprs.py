@@ -89,3 +89,8 @@ def age_month_number(later, earlier) -> Column:
     months = ((F.year(later) - F.year(earlier)) * 12 + F.month(later) - F.month(earlier)
               - F.when(F.dayofmonth(later) < F.dayofmonth(earlier), 1).otherwise(0))
     return (months % 12) + 1
+
+
+def lit_ts(ts: dt.datetime) -> Column:
+    """Timestamp literal read in the session time zone (UTC), not the Python process zone."""
+    return F.lit(ts.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp")

@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martlens.functions.exprs import gross_amount, lit_date, net_amount
+from martlens.functions.exprs import gross_amount, lit_date, lit_ts, net_amount
 from martlens.params import Params
 from martlens.plans.tables import RetailTables
 
@@ -161,7 +161,7 @@ def heal_audit_log(t: RetailTables, p: Params, fix_date: dt.datetime | None = No
                                   F.concat(F.lit(pre), n.cast("string"), F.lit(post)).alias("notes")))
     a = rows[0].unionByName(rows[1]).filter(F.col("n") > 0)
     return a.select(F.row_number().over(Window.orderBy("seq")).cast("bigint").alias("audit_id"),
-                    "check_name", F.lit(ts).cast("timestamp").alias("fix_date"),
+                    "check_name", lit_ts(ts).alias("fix_date"),
                     F.lit(AUTO).alias("fixed_by"), "sql_executed", "notes")
 
 

@@ -22,7 +22,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martlens.functions.exprs import lit_date, net_amount, pg_concat
+from martlens.functions.exprs import lit_date, lit_ts, pg_concat
 from martlens.params import Params
 from martlens.plans.tables import RetailTables
 from martlens.plans.views import (base_customers, base_inventory, base_order_items, base_orders,
@@ -269,7 +269,7 @@ def run_checks(t: RetailTables, p: Params, detected_at: dt.datetime | None = Non
     return issues.select(
         F.row_number().over(Window.orderBy("seq")).cast("bigint").alias("id"),
         "check_name", "severity", "row_count", "sample_ids", "details",
-        F.lit(ts).cast("timestamp").alias("detected_at"))
+        lit_ts(ts).alias("detected_at"))
 
 
 def dq_run_all(t: RetailTables, p: Params) -> DataFrame:
