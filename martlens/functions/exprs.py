@@ -8,7 +8,6 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-CENT = F.lit(Decimal("0.01"))
 
 
 def c(x) -> Column:
@@ -27,13 +26,13 @@ def net_amount(q="quantity", p="unit_price", d="discount_percent", coalesce_disc
     """
     disc = F.coalesce(c(d), F.lit(0)) if coalesce_discount else c(d)
     hundredths = c(q).cast("bigint") * c(p) * (F.lit(100) - disc)
-    return hundredths.cast("decimal(20,0)") * CENT
+    return hundredths.cast("decimal(20,0)") * F.lit(Decimal("0.01"))
 
 
 def discount_amount(q="quantity", p="unit_price", d="discount_percent", coalesce_discount=False) -> Column:
     """quantity * unit_price * discount/100, exact DECIMAL with 2 places."""
     disc = F.coalesce(c(d), F.lit(0)) if coalesce_discount else c(d)
-    return (c(q).cast("bigint") * c(p) * disc).cast("decimal(20,0)") * CENT
+    return (c(q).cast("bigint") * c(p) * disc).cast("decimal(20,0)") * F.lit(Decimal("0.01"))
 
 
 def gross_amount(q="quantity", p="unit_price") -> Column:
