@@ -49,6 +49,7 @@ def b02_topline(t, p):
            .agg(F.sum(F.when(F.col("order_date") == F.col("report_date"), F.col("rev"))).alias("r_today"),
                 F.sum(F.when(F.col("order_date") == F.col("report_date"), F.col("n"))).alias("o_today"),
                 F.sum(F.when(F.col("order_date") == F.date_sub("report_date", 1), F.col("rev"))).alias("r_yest")))
+    # the report day's orders are few: filter them first, then join their items
     items = (t.order_items.select("order_id", "quantity")
              .join(with_scalar(t.orders.select("order_id", "order_date"), d)
                    .filter(F.col("order_date") == F.col("report_date")).select("order_id"), "order_id")
@@ -109,8 +110,7 @@ def b26_top_payment(t, p):
 
 
 def b06_top_category(t, p):
-    x = (t.order_items.select("product_id", gross_amount().alias("g"))
-         .groupBy("product_id").agg(F.sum("g").alias("g"))
+    x = (_items_per_product(t).select("product_id", F.col("gross").alias("g"))
          .join(t.products.select("product_id", "category"), "product_id"))
     return _mode(x, "category", "g").select(F.col("category").alias("top_category"),
                                            F.col("cnt").cast("bigint").alias("top_category_revenue"))
@@ -119,7 +119,31 @@ def b06_top_category(t, p):
 def _per_customer(t: RetailTables) -> DataFrame:
     return (t.orders.groupBy("customer_id")
             .agg(F.count("order_id").alias("freq"), F.max("order_date").alias("last"),
-                 F.sum("total_amount").alias("ltv")))
+                 F.sum("total_amount").alias("ltv"), F.count("total_amount").alias("n_total")))
+
+
+def _items_per_product(t: RetailTables) -> DataFrame:
+    """Per-product gross, net and units; consumers prune it to what they read."""
+    return t.order_items.groupBy("product_id").agg(
+        F.sum(gross_amount()).alias("gross"), F.sum(net_amount(coalesce_discount=True)).alias("net0"),
+        F.sum("quantity").alias("qty"))
+
+
+def _items_per_order(t: RetailTables) -> DataFrame:
+    """Per-order net and discount (NULL discount as 0) for the promotion ROI."""
+    return t.order_items.groupBy("order_id").agg(
+        F.sum(net_amount(coalesce_discount=True)).alias("net0"),
+        F.sum(discount_amount(coalesce_discount=True)).alias("disc0"))
+
+
+def _product_sale_dates(t: RetailTables) -> DataFrame:
+    """product_id -> earliest / latest order date of its items and how many of its
+    items have no dated order (items LEFT JOIN orders)."""
+    od = t.orders.select("order_id", "order_date")
+    return (t.order_items.select("product_id", "order_id").join(od, "order_id", "left")
+            .groupBy("product_id")
+            .agg(F.min("order_date").alias("first_sale"), F.max("order_date").alias("last_sale"),
+                 F.count_if(F.col("order_date").isNull()).alias("n_undated")))
 
 
 def b07_rfm_ltv(t, p):
@@ -155,8 +179,7 @@ def b11_new_customers(t, p):
 
 
 def b12_country_aov(t, p):
-    x = (t.orders.select("customer_id", "total_amount")
-         .groupBy("customer_id").agg(F.sum("total_amount").alias("s"), F.count("total_amount").alias("c"))
+    x = (_per_customer(t).select("customer_id", F.col("ltv").alias("s"), F.col("n_total").alias("c"))
          .join(t.customers.select("customer_id", "country"), "customer_id")
          .groupBy("country").agg(rnd(ratio(F.sum("s"), F.sum("c")), 0).alias("aov")))
     top = x.orderBy(F.col("aov").desc_nulls_first(), F.col("country").asc_nulls_last()).limit(1)
@@ -197,8 +220,7 @@ def b14_active_30d_pct(t, p):
 
 
 def b16_top_product(t, p):
-    x = (t.order_items.select("product_id", net_amount(coalesce_discount=True).alias("v"))
-         .groupBy("product_id").agg(F.sum("v").alias("v"))
+    x = (_items_per_product(t).select("product_id", F.col("net0").alias("v"))
          .join(t.products.select("product_id", "product_name"), "product_id"))
     return _mode(x, "product_name", "v").select(F.col("product_name").alias("top_product"),
                                                F.col("cnt").cast("double").alias("top_product_revenue"))
@@ -234,27 +256,23 @@ def b19_avg_rating(t, p):
 
 
 def b20_dead_stock(t, p):
+    """Literal: products with any sale older than the cut-off, any item without a
+    dated order, or no items at all (counted once per product)."""
     cutoff = F.date_sub(lit_date(p.brief_as_of), p.brief_dead_days)
-    od = t.orders.select("order_id", "order_date")
-    x = (t.products.select("product_id")
-         .join(t.order_items.select("product_id", "order_id"), "product_id", "left")
-         .join(od, "order_id", "left")
-         .filter((F.col("order_date") < cutoff) | F.col("order_date").isNull())
-         .select("product_id").distinct())
-    return x.agg(F.count(F.lit(1)).alias("dead_stock"))
+    x = t.products.select("product_id").distinct().join(_product_sale_dates(t), "product_id", "left")
+    dead = F.col("first_sale").isNull() | (F.col("first_sale") < cutoff) | (F.col("n_undated") > 0)
+    return x.agg(F.count_if(F.col("product_id").isNotNull() & dead).alias("dead_stock"))
 
 
 def b20_dead_stock_intent(t, p):
     cutoff = F.date_sub(lit_date(p.brief_as_of), p.brief_dead_days)
-    od = t.orders.select("order_id", "order_date")
-    last = (t.order_items.select("product_id", "order_id").join(od, "order_id", "left")
-            .groupBy("product_id").agg(F.max("order_date").alias("last")))
-    x = t.products.select("product_id").join(last, "product_id", "left")
-    return x.agg(F.count_if(F.col("last").isNull() | (F.col("last") < cutoff)).alias("dead_stock_intent"))
+    x = t.products.select("product_id").join(_product_sale_dates(t), "product_id", "left")
+    last = F.col("last_sale")
+    return x.agg(F.count_if(last.isNull() | (last < cutoff)).alias("dead_stock_intent"))
 
 
 def b21_category_mover(t, p):
-    x = (t.order_items.groupBy("product_id").agg(F.sum("quantity").alias("q"))
+    x = (_items_per_product(t).select("product_id", F.col("qty").alias("q"))
          .join(t.products.select("product_id", "category", "product_name"), "product_id")
          .groupBy("category", "product_name").agg(F.sum("q").alias("q")))
     # leader per category = min of (-units, name): a plain aggregate, no window
@@ -267,8 +285,8 @@ def b21_category_mover(t, p):
 
 
 def b22_hot_products(t, p):
-    x = t.order_items.groupBy("product_id").agg(F.sum("quantity").alias("q"))
-    return x.agg(F.count_if(F.col("q") >= p.brief_hot_units).alias("hot_products"))
+    x = _items_per_product(t)
+    return x.agg(F.count_if(F.col("qty") >= p.brief_hot_units).alias("hot_products"))
 
 
 def b23_new_launches(t, p):
@@ -278,8 +296,7 @@ def b23_new_launches(t, p):
 
 
 def b24_promo_roi(t, p):
-    per_order = t.order_items.groupBy("order_id").agg(
-        F.sum(net_amount(coalesce_discount=True)).alias("r"), F.sum(discount_amount(coalesce_discount=True)).alias("d"))
+    per_order = _items_per_order(t).select("order_id", F.col("net0").alias("r"), F.col("disc0").alias("d"))
     x = t.promotion_usage.select("order_id").join(per_order, "order_id").agg(
         F.sum("r").alias("r"), F.sum("d").alias("d"))
     return x.select(F.coalesce(rnd(ratio(F.col("r") - F.col("d"), "d") * 100, 1), F.lit(0.0)).alias("promo_roi"))
@@ -312,10 +329,15 @@ METRICS = [b01_report_date, b02_topline, b03_mom_growth, b03_mom_growth_exact, b
 
 def b28_brief_row(t: RetailTables, p: Params) -> DataFrame:
     """Every metric as one wide row (each part is exactly one row)."""
-    row = None
-    for m in METRICS:
-        part = m(t, p)
-        row = part if row is None else row.crossJoin(F.broadcast(part))
+    parts = [m(t, p) for m in METRICS]
+    # pairwise (balanced) joining keeps every intermediate plan small, so the
+    # eager analysis of each step stays cheap; every side is one row
+    while len(parts) > 1:
+        nxt = [parts[i].crossJoin(F.broadcast(parts[i + 1])) for i in range(0, len(parts) - 1, 2)]
+        if len(parts) % 2:
+            nxt.append(parts[-1])
+        parts = nxt
+    row = parts[0]
     return row.withColumn("revenue_status",
                           F.when(F.col("rev_change") >= 0, "Yield Positive").otherwise("Contraction"))
 

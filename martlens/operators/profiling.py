@@ -29,12 +29,12 @@ def prof_null_counts_promotions(t: RetailTables, p: Params) -> DataFrame:
 
 def prof_orphan_orders(t: RetailTables, p: Params) -> DataFrame:
     return (t.orders.select("order_id", "customer_id")
-            .join(t.customers.select("customer_id"), "customer_id", "left_anti")
+            .join(t.customers.select("customer_id").distinct(), "customer_id", "left_anti")
             .select("order_id", "customer_id"))
 
 
 def prof_orphan_items(t: RetailTables, p: Params) -> DataFrame:
-    return (t.order_items.select("product_id").join(t.products.select("product_id"), "product_id", "left_anti")
+    return (t.order_items.select("product_id").join(t.products.select("product_id").distinct(), "product_id", "left_anti")
             .agg(F.count(F.lit(1)).alias("orphan_items")))
 
 
@@ -109,11 +109,11 @@ def prof_dup_email_regex(t: RetailTables, p: Params) -> DataFrame:
 
 
 def prof_no_inventory(t: RetailTables, p: Params) -> DataFrame:
-    return t.products.select("product_id").join(t.inventory.select("product_id"), "product_id", "left_anti")
+    return t.products.select("product_id").join(t.inventory.select("product_id").distinct(), "product_id", "left_anti")
 
 
 def prof_no_orders(t: RetailTables, p: Params) -> DataFrame:
-    return t.customers.select("customer_id").join(t.orders.select("customer_id"), "customer_id", "left_anti")
+    return t.customers.select("customer_id").join(t.orders.select("customer_id").distinct(), "customer_id", "left_anti")
 
 
 def prof_max_order_date(t: RetailTables, p: Params) -> DataFrame:

@@ -57,7 +57,7 @@ class ForeignKey:
     def run(self, t: RetailTables) -> DataFrame:
         pk = schemas.PRIMARY_KEYS[self.tbl]
         child = t[self.tbl].select(pk, self.col).filter(F.col(self.col).isNotNull())
-        parent = t[self.parent].select(F.col(self.parent_col).alias(self.col))
+        parent = t[self.parent].select(F.col(self.parent_col).alias(self.col)).distinct()
         bad = child.join(parent, self.col, "left_anti")  # a NULL reference is legal
         return _out(bad, "foreign_key", self.tbl, self.col, F.col(pk), F.col(self.col))
 
