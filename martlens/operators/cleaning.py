@@ -207,3 +207,85 @@ OPS = {
     "heal_order_totals_count": heal_order_totals_count,
     "heal_audit_log": heal_audit_log,
 }
+
+
+# --------------------------------------------------------------------------- change counts
+def _changed(before: DataFrame, after: DataFrame, key: str, col: str) -> DataFrame:
+    """Rows whose ``col`` differs (NULL-safe) between two versions keyed by ``key``."""
+    a = after.select(key, F.col(col).alias("_new"))
+    j = before.select(key, F.col(col).alias("_old")).join(a, key)
+    return _count(j, ~F.col("_old").eqNullSafe(F.col("_new")))
+
+
+def fix_verified_flag_count(t, p):
+    return _changed(t.customer_reviews, fix_verified_flag(t, p), "review_id", "is_verified_purchase")
+
+
+def fix_default_subcategory_count(t, p):
+    return _count(t.products, F.col("subcategory").isNull())
+
+
+def fix_fill_total_amount_count(t, p):
+    return _changed(t.orders, fix_fill_total_amount(t, p), "order_id", "total_amount")
+
+
+def fix_final_total_count(t, p):
+    """UPDATE ... FROM counts every order with items, changed value or not."""
+    has = t.order_items.select("order_id").distinct()
+    return t.orders.select("order_id").join(has, "order_id", "left_semi").agg(
+        F.count(F.lit(1)).cast("bigint").alias("changed_rows"))
+
+
+def fix_is_active_count(t, p):
+    """Customers set to TRUE (the UPDATE touches every customer that ordered)."""
+    return _count(fix_is_active(t, p), F.col("is_active"))
+
+
+def fix_clamp_stock_count(t, p):
+    return _count(t.inventory, F.col("stock_quantity") < 0)
+
+
+# --------------------------------------------------------------------------- fixtures
+# The scenario seeding block (order-id ranges, customer ranges,
+# start dates and day spans).  A deterministic hash of order_id stands in for
+# random() so that reruns and other engines agree.
+SCENARIOS = [
+    (1, 1000, 1, 150, dt.date(2026, 2, 1), 26),
+    (1001, 2500, 151, 300, dt.date(2026, 1, 15), 40),
+    (2501, 3500, 451, 200, dt.date(2025, 9, 1), 60),
+]
+
+
+def unit_hash(key, salt: int) -> F.Column:
+    """A value in [0, 1) from an integer key (no overflow for 64-bit keys)."""
+    return (((key % 1000003) * 7919 + salt) % 1000003) / F.lit(1000003.0)
+
+
+def fx_seed_scenarios(t: RetailTables, p: Params) -> DataFrame:
+    o = t.orders
+    oid = F.col("order_id")
+    cust, day = F.col("customer_id"), F.col("order_date")
+    for lo, hi, c0, n, start, span in reversed(SCENARIOS):
+        inr = oid.between(lo, hi)
+        cust = F.when(inr, F.floor(unit_hash(oid, 13) * n + c0).cast("bigint")).otherwise(cust)
+        day = F.when(inr, F.date_add(lit_date(start), F.round(unit_hash(oid, 29) * span).cast("int"))).otherwise(day)
+    return o.withColumn("customer_id", cust).withColumn("order_date", day).select(*o.columns)
+
+
+def fx_manual_issue(spark, check_name: str, severity: str, details: str, detected_at: dt.datetime,
+                    issue_id: int | None = None, row_count: int = 0, sample_ids: str | None = None) -> DataFrame:
+    """A hand-inserted (drill) issue row in the issues table's shape."""
+    from martlens import schemas
+    return spark.createDataFrame([(issue_id, check_name, severity, row_count, sample_ids, details, detected_at)],
+                                 schemas.DQ_ISSUES)
+
+
+OPS.update({
+    "fix_verified_flag_count": fix_verified_flag_count,
+    "fix_default_subcategory_count": fix_default_subcategory_count,
+    "fix_fill_total_amount_count": fix_fill_total_amount_count,
+    "fix_final_total_count": fix_final_total_count,
+    "fix_is_active_count": fix_is_active_count,
+    "fix_clamp_stock_count": fix_clamp_stock_count,
+    "fx_seed_scenarios": fx_seed_scenarios,
+})

@@ -94,3 +94,29 @@ def test_issue_ids_restart_and_follow_check_order(spark, tables):
     order = [c.name for c in quality.CHECKS]
     assert [r.check_name for r in rows] == [n for n in order if n in {r.check_name for r in rows}]
     assert all(r.detected_at == dt.datetime(2001, 7, 15) for r in rows)
+
+
+def test_alter_add_column_and_manual_rows(spark, tables, scratch):
+    from martlens.operators import cleaning
+    cu = cleaning.alter_add_column(tables.customers, "is_active", False, "boolean")
+    assert cu.filter("is_active").count() == 0 and "is_active" in cu.columns
+    audit = cleaning.heal_manual_audit(spark, "orders_total_mismatch", "analyst", "Yes", "Done",
+                                       dt.datetime(2024, 1, 1, 12, 0))
+    drill = cleaning.fx_manual_issue(spark, "test_check_drill", "High", "test_failure_inserted_manually",
+                                     dt.datetime(2024, 1, 28, 9, 0), issue_id=19)
+    lake.append(audit, os.path.join(scratch, "audit"))
+    lake.append(drill, os.path.join(scratch, "issues"))
+    assert spark.read.parquet(os.path.join(scratch, "audit")).count() == 1
+    back = spark.read.parquet(os.path.join(scratch, "issues")).collect()[0]
+    assert back.check_name == "test_check_drill" and back.severity == "High"
+
+
+def test_seed_scenarios_populate_segments(spark, tables):
+    from martlens.operators import brief, cleaning
+    seeded = cleaning.fx_seed_scenarios(tables, P)
+    t2 = tables.replace(orders=seeded)
+    r = seeded.filter("order_id between 1 and 1000").agg(F.min("customer_id"), F.max("customer_id"),
+                                                         F.min("order_date"), F.max("order_date")).collect()[0]
+    assert 1 <= r[0] and r[1] <= 150 and r[2] >= dt.date(2026, 2, 1) and r[3] <= dt.date(2026, 2, 27)
+    row = brief.b07_rfm_ltv(t2, P).collect()[0]
+    assert row.champions > 0
