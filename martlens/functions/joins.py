@@ -1,8 +1,7 @@
 """Join helpers.
 
 Broadcast policy: only relations with a proven bound get an explicit broadcast
-hint (one-row scalar aggregates, or a relation whose row count we check against
-a cap).  Everything else is left to the planner: AQE converts a sort-merge join
+hint (one-row scalar aggregates, the <= 18-row check metadata).  Everything else is left to the planner: AQE converts a sort-merge join
 to a broadcast join at runtime only when the measured shuffle side is under
 ``spark.sql.adaptive.autoBroadcastJoinThreshold``; beyond it the join stays a
 shuffle join, and AQE skew handling splits hot partitions.
@@ -20,13 +19,6 @@ def with_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return df.crossJoin(F.broadcast(one_row))
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows (checked with a
-    bounded count); otherwise return it unchanged so the planner shuffles."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def anti(left: DataFrame, right: DataFrame, on) -> DataFrame:
     """LEFT JOIN ... WHERE right.key IS NULL  ==  left_anti (NULL keys kept)."""
     return left.join(right, on=on, how="left_anti")

@@ -217,28 +217,28 @@ C_INTENT = Check("c", "reviews_without_purchase", "MEDIUM",
 BY_LETTER = {c.letter: c for c in CHECKS}
 
 
-def summarize(t: RetailTables, p: Params, checks: list[Check]) -> DataFrame:
-    """Issue rows (check_name, severity, row_count, sample_ids, details, seq) for
-    the checks with at least one violation."""
-    spark = t.spark
-    meta = spark.createDataFrame(
-        [(i, c.name, c.severity, c.details) for i, c in enumerate(checks)],
-        "seq int, check_name string, severity string, details string")
-    v = None
-    for i, c in enumerate(checks):
-        part = c.rows(t, p).withColumn("seq", F.lit(i))
-        v = part if v is None else v.unionByName(part)
-    counts = v.groupBy("seq").agg(F.sum("weight").alias("row_count"))
-    w = Window.partitionBy("seq").orderBy(F.col("sort_d").asc_nulls_last(), F.col("sort_s").asc_nulls_last(),
-                                          F.col("sort_n").asc_nulls_last(), F.col("sort_n2").asc_nulls_last(),
-                                          F.col("sort_n3").asc_nulls_last())
-    top = (v.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= SAMPLE_SIZE)
+SORT_KEYS = ["sort_d", "sort_s", "sort_n", "sort_n2", "sort_n3"]
+
+
+def summarize_violations(spark, v: DataFrame, checks: list[Check]) -> DataFrame:
+    """Issue rows from violation rows tagged with ``seq`` (index into ``checks``).
+
+    Identical violations are first collapsed into weights by a full-key
+    aggregate (a repeated key is folded map-side); that one exchange feeds both
+    the count and the sample branch, so the violations are produced once."""
+    vw = v.groupBy("seq", *SORT_KEYS, "sample").agg(F.sum("weight").alias("weight"))
+    counts = vw.groupBy("seq").agg(F.sum("weight").alias("row_count"))
+    w = Window.partitionBy("seq").orderBy(*[F.col(k).asc_nulls_last() for k in SORT_KEYS])
+    top = (vw.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= SAMPLE_SIZE)
            .groupBy("seq")
            .agg(F.array_sort(F.collect_list(F.struct("rn", "sample", "weight"))).alias("top")))
     # expand repeated violations (weight) only inside the <= 10 retained entries
     expanded = F.flatten(F.transform(
         "top", lambda x: F.array_repeat(x["sample"], F.least(x["weight"], F.lit(SAMPLE_SIZE)).cast("int"))))
     samples = top.select("seq", F.array_join(F.slice(expanded, 1, SAMPLE_SIZE), ",").alias("sample_ids"))
+    meta = spark.createDataFrame(
+        [(i, c.name, c.severity, c.details) for i, c in enumerate(checks)],
+        "seq int, check_name string, severity string, details string")
     # meta has one row per check (<= 18): bounded broadcast
     return (F.broadcast(meta).join(counts, "seq").join(samples, "seq", "left")
             .filter(F.col("row_count") > 0)
@@ -246,6 +246,16 @@ def summarize(t: RetailTables, p: Params, checks: list[Check]) -> DataFrame:
                     "sample_ids", "details"))
 
 
+def summarize(t: RetailTables, p: Params, checks: list[Check]) -> DataFrame:
+    """Issue rows (seq, check_name, severity, row_count, sample_ids, details) for
+    the checks with at least one violation."""
+    v = None
+    for i, c in enumerate(checks):
+        part = c.rows(t, p).withColumn("seq", F.lit(i))
+        v = part if v is None else v.unionByName(part)
+    return summarize_violations(t.spark, v, checks)
+
+
 def check_op(letter: str, intent: bool = False):
     chk = C_INTENT if intent else BY_LETTER[letter]
 

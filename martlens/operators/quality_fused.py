@@ -12,9 +12,7 @@ violation row per (row, failed check) with ``explode``:
 * products: one join to the inventory key set (I) plus rule E;
 * and the small passes G, C, F, L, N, Q.
 
-Then identical violation rows are collapsed into weights by a full-key
-aggregate; its exchange feeds both the count and the sample branch, so the
-violations are computed once (the second branch is a ReusedExchange).
+The violation rows then go through ``quality.summarize_violations``.
 """
 
 from __future__ import annotations
@@ -32,7 +30,6 @@ from martlens.plans.tables import RetailTables
 from martlens.plans.views import base_inventory
 
 SEQ = {c.letter: i for i, c in enumerate(Q.CHECKS)}
-KEYS = ["seq", "sort_d", "sort_s", "sort_n", "sort_n2", "sort_n3", "sample"]
 
 
 def _hit(letter: str, cond, sample, sort_n=None, sort_d=None, sort_s=None):
@@ -131,21 +128,7 @@ def fused_violations(t: RetailTables, p: Params) -> DataFrame:
 
 def run_all_fused(t: RetailTables, p: Params, detected_at: dt.datetime | None = None) -> DataFrame:
     ts = detected_at or dt.datetime.combine(p.dq_as_of, dt.time())
-    v = fused_violations(t, p)
-    # collapse identical violations into weights; both branches below read this
-    # one exchange, so the violations are produced once
-    vw = v.groupBy(*KEYS).agg(F.sum("weight").alias("weight"))
-    counts = vw.groupBy("seq").agg(F.sum("weight").alias("row_count"))
-    w = Window.partitionBy("seq").orderBy(*[F.col(k).asc_nulls_last() for k in KEYS[1:6]])
-    top = (vw.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= Q.SAMPLE_SIZE)
-           .groupBy("seq").agg(F.array_sort(F.collect_list(F.struct("rn", "sample", "weight"))).alias("top")))
-    expanded = F.flatten(F.transform(
-        "top", lambda x: F.array_repeat(x["sample"], F.least(x["weight"], F.lit(Q.SAMPLE_SIZE)).cast("int"))))
-    samples = top.select("seq", F.array_join(F.slice(expanded, 1, Q.SAMPLE_SIZE), ",").alias("sample_ids"))
-    meta = t.spark.createDataFrame([(i, c.name, c.severity, c.details) for i, c in enumerate(Q.CHECKS)],
-                                   "seq int, check_name string, severity string, details string")
-    issues = (F.broadcast(meta).join(counts, "seq").join(samples, "seq", "left")
-              .filter(F.col("row_count") > 0))
+    issues = Q.summarize_violations(t.spark, fused_violations(t, p), Q.CHECKS)
     # at most 18 rows: a single-partition window is bounded
     return issues.select(
         F.row_number().over(Window.orderBy("seq")).cast("bigint").alias("id"),
