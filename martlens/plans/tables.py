@@ -71,6 +71,12 @@ class RetailTables:
         from martlens.sources.lake import read_table
         return RetailTables(spark, {n: (lambda n=n: read_table(spark, root, n)) for n in RETAIL})
 
+    @staticmethod
+    def from_catalog(spark: SparkSession, database: str) -> "RetailTables":
+        """Read tables written by ``sources.lake.write_catalog`` (bucketed facts)."""
+        from martlens.sources.lake import read_catalog
+        return RetailTables(spark, {n: (lambda n=n: read_catalog(spark, database, n)) for n in RETAIL})
+
     @staticmethod
     def from_frames(spark: SparkSession, frames: dict[str, DataFrame]) -> "RetailTables":
         return RetailTables(spark, {n: (lambda df=df: df) for n, df in frames.items()})

@@ -56,3 +56,19 @@ def test_no_cartesian_in_questions(spark, lake_tables):
     for key, op in operators().items():
         if key.startswith("q"):
             assert "CartesianProduct" not in plan(op(lake_tables, P)), key
+
+
+def test_bucketed_facts_join_without_shuffle(spark):
+    from martlens.operators import cleaning
+    loc = tempfile.mkdtemp(prefix="martlens-cat-")
+    lake.write_catalog(RetailTables.from_fixture(spark, SF), "martlens_test_cat", loc, 4,
+                       names=["orders", "order_items"])
+    t = RetailTables.from_catalog(spark, "martlens_test_cat")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(cleaning.heal_order_totals(t, P))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in text and "Exchange" not in text
