@@ -31,11 +31,19 @@ def rnd(x, n: int) -> F.Column:
 
 
 def _daily(t: RetailTables) -> DataFrame:
+    return t.memo("brief_daily", lambda: _daily_build(t))
+
+
+def _daily_build(t: RetailTables) -> DataFrame:
     return (t.orders.groupBy("order_date", "order_status", "payment_method")
             .agg(F.count("order_id").alias("n"), F.sum("total_amount").alias("rev")))
 
 
 def _report_date(t: RetailTables) -> DataFrame:
+    return t.memo("brief_report_date", lambda: _report_date_build(t))
+
+
+def _report_date_build(t: RetailTables) -> DataFrame:
     return _daily(t).agg(F.max("order_date").alias("report_date"))
 
 
@@ -84,14 +92,22 @@ def b03_mom_growth_exact(t, p):
     return _month_sums(t, p).select(F.coalesce(rnd(g, 1), F.lit(0.0)).alias("mom_growth_exact"))
 
 
-def _mode(df: DataFrame, key: str, weight: str) -> DataFrame:
-    """(key, total weight) of the heaviest key; ties go to the smallest key.
+def _best(df: DataFrame, value: str, key: str, value_nulls_first: bool = False):
+    """Column struct of the row with the largest ``value`` (ties: smallest ``key``,
+    NULL keys last; NULL values last unless ``value_nulls_first``).
 
-    ``orderBy().limit(1)`` is a distributed top-1 (TakeOrderedAndProject)."""
+    A global ``min(struct)`` aggregate: partial per partition, and exactly one
+    row even when ``df`` is empty."""
+    v, k = F.col(value), F.col(key)
+    null_rank = v.isNotNull() if value_nulls_first else v.isNull()
+    return F.min(F.struct(null_rank.alias("_vn"), (-v).alias("_nv"), k.isNull().alias("_kn"),
+                          k.alias("key"), v.alias("value")))
+
+
+def _mode(df: DataFrame, key: str, weight: str) -> DataFrame:
+    """(key, cnt) of the heaviest key; ties go to the smallest key."""
     g = df.groupBy(key).agg(F.sum(weight).alias("cnt"))
-    top = g.orderBy(F.col("cnt").desc_nulls_last(), F.col(key).asc_nulls_last()).limit(1)
-    one = df.sparkSession.range(1).select(F.lit(1).alias("_one"))
-    return one.join(top.withColumn("_one", F.lit(1)), "_one", "left").drop("_one")
+    return g.agg(_best(g, "cnt", key).alias("b")).select(F.col("b.key").alias(key), F.col("b.value").alias("cnt"))
 
 
 def b04_best_day(t, p):
@@ -117,12 +133,20 @@ def b06_top_category(t, p):
 
 
 def _per_customer(t: RetailTables) -> DataFrame:
+    return t.memo("brief_per_customer", lambda: _per_customer_build(t))
+
+
+def _per_customer_build(t: RetailTables) -> DataFrame:
     return (t.orders.groupBy("customer_id")
             .agg(F.count("order_id").alias("freq"), F.max("order_date").alias("last"),
                  F.sum("total_amount").alias("ltv"), F.count("total_amount").alias("n_total")))
 
 
 def _items_per_product(t: RetailTables) -> DataFrame:
+    return t.memo("brief_items_per_product", lambda: _items_per_product_build(t))
+
+
+def _items_per_product_build(t: RetailTables) -> DataFrame:
     """Per-product gross, net and units; consumers prune it to what they read."""
     return t.order_items.groupBy("product_id").agg(
         F.sum(gross_amount()).alias("gross"), F.sum(net_amount(coalesce_discount=True)).alias("net0"),
@@ -130,6 +154,10 @@ def _items_per_product(t: RetailTables) -> DataFrame:
 
 
 def _items_per_order(t: RetailTables) -> DataFrame:
+    return t.memo("brief_items_per_order", lambda: _items_per_order_build(t))
+
+
+def _items_per_order_build(t: RetailTables) -> DataFrame:
     """Per-order net and discount (NULL discount as 0) for the promotion ROI."""
     return t.order_items.groupBy("order_id").agg(
         F.sum(net_amount(coalesce_discount=True)).alias("net0"),
@@ -137,6 +165,10 @@ def _items_per_order(t: RetailTables) -> DataFrame:
 
 
 def _product_sale_dates(t: RetailTables) -> DataFrame:
+    return t.memo("brief_product_sale_dates", lambda: _product_sale_dates_build(t))
+
+
+def _product_sale_dates_build(t: RetailTables) -> DataFrame:
     """product_id -> earliest / latest order date of its items and how many of its
     items have no dated order (items LEFT JOIN orders)."""
     od = t.orders.select("order_id", "order_date")
@@ -182,13 +214,15 @@ def b12_country_aov(t, p):
     x = (_per_customer(t).select("customer_id", F.col("ltv").alias("s"), F.col("n_total").alias("c"))
          .join(t.customers.select("customer_id", "country"), "customer_id")
          .groupBy("country").agg(rnd(ratio(F.sum("s"), F.sum("c")), 0).alias("aov")))
-    top = x.orderBy(F.col("aov").desc_nulls_first(), F.col("country").asc_nulls_last()).limit(1)
-    one = t.spark.range(1).select(F.lit(1).alias("_one"))
-    return (one.join(top.withColumn("_one", F.lit(1)), "_one", "left")
-            .select(F.col("country").alias("top_country"), F.col("aov").alias("top_country_aov")))
+    return x.agg(_best(x, "aov", "country", value_nulls_first=True).alias("b")).select(
+        F.col("b.key").alias("top_country"), F.col("b.value").alias("top_country_aov"))
 
 
 def _first_second(t: RetailTables) -> DataFrame:
+    return t.memo("brief_first_second", lambda: _first_second_build(t))
+
+
+def _first_second_build(t: RetailTables) -> DataFrame:
     # NULL customer ids never meet in the reference's self join: drop them first.
     # row_number() <= 2 gets a partial WindowGroupLimit before the shuffle.
     w = Window.partitionBy("customer_id").orderBy(F.col("order_date").asc_nulls_last())
@@ -231,10 +265,8 @@ def b17_top_margin(t, p):
         ratio(F.sum("selling_price"), F.count("selling_price")).alias("ap"),
         ratio(F.sum("unit_cost"), F.count("unit_cost")).alias("ac"))
     m = g.select("category", rnd(ratio(F.col("ap") - F.col("ac"), "ap") * 100, 1).alias("m"))
-    top = m.orderBy(F.col("m").desc_nulls_first(), F.col("category").asc_nulls_last()).limit(1)
-    one = t.spark.range(1).select(F.lit(1).alias("_one"))
-    return (one.join(top.withColumn("_one", F.lit(1)), "_one", "left")
-            .select(F.col("category").alias("top_margin_category"), F.col("m").alias("top_margin")))
+    return m.agg(_best(m, "m", "category", value_nulls_first=True).alias("b")).select(
+        F.col("b.key").alias("top_margin_category"), F.col("b.value").alias("top_margin"))
 
 
 def b18_low_stock(t, p, k: int = 3):
@@ -278,10 +310,9 @@ def b21_category_mover(t, p):
     # leader per category = min of (-units, name): a plain aggregate, no window
     lead = x.groupBy("category").agg(F.min(F.struct((-F.col("q")).alias("nq"), F.col("product_name").alias("nm")))
                                      .alias("b"))
-    top = lead.orderBy(F.col("category").asc_nulls_last()).limit(1)
-    one = t.spark.range(1).select(F.lit(1).alias("_one"))
-    return (one.join(top.withColumn("_one", F.lit(1)), "_one", "left")
-            .select(F.col("b.nm").alias("mover_product"), F.col("category").alias("mover_category")))
+    first = lead.agg(F.min(F.struct(F.col("category").isNull().alias("_cn"), F.col("category").alias("category"),
+                                    F.col("b.nm").alias("nm"))).alias("f"))
+    return first.select(F.col("f.nm").alias("mover_product"), F.col("f.category").alias("mover_category"))
 
 
 def b22_hot_products(t, p):

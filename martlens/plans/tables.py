@@ -34,6 +34,14 @@ class RetailTables:
             raise AttributeError(name)
         return self[name]
 
+    def memo(self, key: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A derived DataFrame built once per table set: operators sharing it then
+        share one sub-plan object (cheaper to build, and its exchanges are reused)."""
+        memo = self.__dict__.setdefault("_memo", {})
+        if key not in memo:
+            memo[key] = build()
+        return memo[key]
+
     def replace(self, **dfs: DataFrame) -> "RetailTables":
         """A new table set where some tables are swapped (e.g. healed versions)."""
         out = RetailTables(self.spark, self._builders)
