@@ -91,5 +91,5 @@ def age_month_number(later, earlier) -> Column:
 
 
 def lit_ts(ts: dt.datetime) -> Column:
-    """Timestamp literal read in the session time zone (UTC), not the Python process zone."""
-    return F.lit(ts.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp")
+    """Wall-clock timestamp literal (TIMESTAMP_NTZ): no session or process zone applies."""
+    return F.lit(ts.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")

@@ -3,7 +3,7 @@
 from pyspark.sql import types as T
 
 L, I, S, Dt, B = T.LongType(), T.IntegerType(), T.StringType(), T.DateType(), T.BooleanType()
-TS = T.TimestampType()
+TS = T.TimestampNTZType()  # wall-clock timestamps, independent of session/process zone
 MONEY = T.DecimalType(18, 2)
 
 

@@ -142,7 +142,7 @@ class FixtureBuilder:
                         F.when(w == 0, "North").otherwise("South").alias("warehouse_location"),
                         F.when(k % 70 == 11, F.lit(-8))
                          .otherwise(((k * 7919 + w * 31) % 60).cast("int") - 6).cast("int").alias("stock_quantity"),
-                        F.lit("2001-07-01 00:00:00").cast("timestamp").alias("last_updated")))
+                        F.lit("2001-07-01 00:00:00").cast("timestamp_ntz").alias("last_updated")))
 
     # ------------------------------------------------------------------ reviews
     def customer_reviews(self, items: DataFrame | None = None, orders: DataFrame | None = None) -> DataFrame:
@@ -200,14 +200,14 @@ class FixtureBuilder:
             sev.alias("severity"), (e % 50).cast("bigint").alias("row_count"),
             e.cast("string").alias("sample_ids"),
             F.concat(F.lit("detail "), (e % 3).cast("string")).alias("details"),
-            F.col("ts").cast("timestamp").alias("detected_at"))
+            F.col("ts").cast("timestamp_ntz").alias("detected_at"))
 
     def data_fix_audit(self) -> DataFrame:
         ev = self.raw("events").filter((F.col("event_type") == "signup") & (F.col("user_id") % 7 < 3))
         return ev.select(
             F.col("event_id").cast("bigint").alias("audit_id"),
             F.concat(F.lit("check_"), (F.col("user_id") % 7).cast("string")).alias("check_name"),
-            F.col("ts").cast("timestamp").alias("fix_date"),
+            F.col("ts").cast("timestamp_ntz").alias("fix_date"),
             F.lit("SYSTEM_AUTO_HEAL").alias("fixed_by"),
             F.lit(None).cast("string").alias("sql_executed"),
             F.lit(None).cast("string").alias("notes"))
