@@ -9,10 +9,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlens.functions.exprs import lit_date
+from martlens.functions.windows import row_number_within
 from martlens.sources.tpch import read_raw
 
 EPOCH = dt.date(1995, 1, 1)
@@ -70,17 +71,16 @@ class FixtureBuilder:
 
     # ------------------------------------------------------------------ order items
     def order_items(self) -> DataFrame:
-        li = self.raw("lineitem")
-        # Line number inside an order; TPC-H bounds an order to 1..7 lines, so
-        # every window partition is tiny.
-        w = Window.partitionBy("l_orderkey").orderBy(
-            "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
-            "l_discount", "l_tax", "l_shipdate")
+        order = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+                 "l_discount", "l_tax", "l_shipdate"]
+        li = self.raw("lineitem").select("l_orderkey", *order)
+        # line number inside an order, bounded per task even for a huge order
+        li = row_number_within(li, "l_orderkey", order, out="line_no")
         x = li.select(
             F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("pk"),
             F.col("l_quantity").alias("qty"), F.col("l_extendedprice").alias("ext"),
             F.col("l_discount").alias("disc"),
-            (F.col("l_orderkey") * 1000 + F.row_number().over(w)).alias("order_item_id"))
+            (F.col("l_orderkey") * 1000 + F.col("line_no")).alias("order_item_id"))
         oid, pk = F.col("order_item_id"), F.col("pk")
         return x.select(
             oid.cast("bigint").alias("order_item_id"),
