@@ -60,3 +60,32 @@ def work_dir(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return base.rstrip("/") + "/" + name
+
+
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_mb: int = 256,
+                 max_shuffle_partitions: int = 100_000) -> dict:
+    """Sizing for a cluster run over ``input_bytes`` of parquet on ``total_cores``.
+
+    Scan splits and post-shuffle partitions aim at ``target_partition_mb`` so a
+    task's working set fits executor memory (Tungsten spills beyond it); AQE
+    starts from enough shuffle partitions and coalesces small ones, and splits
+    a skewed join partition over several tasks.
+    """
+    target = target_partition_mb << 20
+    parts = max(total_cores * 2, min(max_shuffle_partitions, input_bytes // target + 1))
+    return {
+        "spark.sql.files.maxPartitionBytes": f"{target_partition_mb}m",
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{target_partition_mb}m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{4 * target_partition_mb}m",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    }
+
+
+def bucket_count(table_bytes: int, bucket_mb: int = 1024, minimum: int = 8, maximum: int = 65536) -> int:
+    """Buckets for a bucketed fact table: about ``bucket_mb`` per bucket, a power
+    of two, capped so the file count of one write stays manageable."""
+    n = max(minimum, table_bytes // (bucket_mb << 20) + 1)
+    return min(maximum, 1 << (int(n) - 1).bit_length())
