@@ -58,10 +58,11 @@ def append(df: DataFrame, path: str) -> None:
 def wipe_replace(df: DataFrame, path: str, id_col: str = "id", order_cols=None) -> None:
     """TRUNCATE ... RESTART IDENTITY then refill: ids renumbered from 1."""
     order_cols = order_cols or [c for c in df.columns if c != id_col]
-    # ids over the (small) issues table; ordering by the given columns
+    # ids over the (small, one row per check) issues table, in the given order
     w = Window.orderBy(*order_cols)
-    out = df.drop(id_col).withColumn(id_col, F.row_number().over(w).cast("bigint"))
-    out.select(id_col, *[c for c in df.columns if c != id_col]).write.mode("overwrite").parquet(path)
+    out = df.withColumn("_new_id", F.row_number().over(w).cast("bigint"))
+    out.select(F.col("_new_id").alias(id_col), *[c for c in df.columns if c != id_col]) \
+        .write.mode("overwrite").parquet(path)
 
 
 # Bucketed layout: orders and order items share the bucket count on order_id,

@@ -120,3 +120,21 @@ def test_seed_scenarios_populate_segments(spark, tables):
     assert 1 <= r[0] and r[1] <= 150 and r[2] >= dt.date(2026, 2, 1) and r[3] <= dt.date(2026, 2, 27)
     row = brief.b07_rfm_ltv(t2, P).collect()[0]
     assert row.champions > 0
+
+
+def test_data_quality_job_publishes_and_is_rerunnable(spark, tables, scratch):
+    from martlens.operators.dq_job import current_snapshot, run_data_quality_job
+    r1 = run_data_quality_job(spark, tables, P, scratch, run_at=dt.datetime(2001, 7, 15, 12, 55))
+    issues = spark.read.parquet(os.path.join(scratch, "dq_issues"))
+    expected = {(r.check_name, r.row_count) for r in quality.dq_run_all(tables, P).collect()}
+    assert {(r.check_name, r.row_count) for r in issues.collect()} == expected
+    assert [r.id for r in issues.orderBy("id").collect()] == list(range(1, issues.count() + 1))
+    snap = current_snapshot(spark, scratch)
+    assert snap.orders.filter("customer_id is null").count() == 0
+    # a second run over the healed snapshot: orphans are gone, issues replaced, history grows
+    r2 = run_data_quality_job(spark, snap, P, scratch, run_at=dt.datetime(2001, 7, 16, 12, 55))
+    assert r1 != r2
+    hist = spark.read.parquet(os.path.join(scratch, "dq_issues_history"))
+    assert hist.select("run_id").distinct().count() == 2
+    audit = spark.read.parquet(os.path.join(scratch, "data_fix_audit"))
+    assert audit.filter(F.col("run_id") == r2).filter("check_name = 'orders_invalid_customer'").count() == 0
