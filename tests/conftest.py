@@ -13,3 +13,8 @@ def spark():
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
+
+
+@pytest.fixture(scope="session")
+def spark_session_for_props(spark):
+    return spark
