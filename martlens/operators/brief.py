@@ -359,16 +359,17 @@ METRICS = [b01_report_date, b02_topline, b03_mom_growth, b03_mom_growth_exact, b
 
 
 def b28_brief_row(t: RetailTables, p: Params) -> DataFrame:
-    """Every metric as one wide row (each part is exactly one row)."""
+    """Every metric as one wide row.
+
+    Each metric is exactly one row; stacking them by name (absent columns are
+    NULL) and taking one ``max`` per column folds them into a single row with
+    one small aggregate, instead of a chain of one-row cross joins."""
     parts = [m(t, p) for m in METRICS]
-    # pairwise (balanced) joining keeps every intermediate plan small, so the
-    # eager analysis of each step stays cheap; every side is one row
-    while len(parts) > 1:
-        nxt = [parts[i].crossJoin(F.broadcast(parts[i + 1])) for i in range(0, len(parts) - 1, 2)]
-        if len(parts) % 2:
-            nxt.append(parts[-1])
-        parts = nxt
-    row = parts[0]
+    cols = [c for part in parts for c in part.columns]
+    stacked = parts[0]
+    for part in parts[1:]:
+        stacked = stacked.unionByName(part, allowMissingColumns=True)
+    row = stacked.agg(*[F.max(c).alias(c) for c in cols])
     return row.withColumn("revenue_status",
                           F.when(F.col("rev_change") >= 0, "Yield Positive").otherwise("Contraction"))
 
