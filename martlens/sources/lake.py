@@ -77,9 +77,12 @@ def write_catalog(tables, database: str, location: str, n_buckets: int, names=No
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location}'")
     for name in names or schemas.TABLES:
         df = conform(tables[name], name)
-        w = df.write.mode("overwrite").format("parquet")
         if name in BUCKETS:
-            w = w.bucketBy(n_buckets, BUCKETS[name]).sortBy(BUCKETS[name])
+            # same hash as the bucket id: each task writes exactly one bucket file
+            df = df.repartition(n_buckets, BUCKETS[name])
+            w = df.write.mode("overwrite").format("parquet").bucketBy(n_buckets, BUCKETS[name]).sortBy(BUCKETS[name])
+        else:
+            w = df.write.mode("overwrite").format("parquet")
         w.saveAsTable(f"{database}.{name}")
 
 
