@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martlens.functions.exprs import gross_amount, lit_date, lit_ts, net_amount
+from martlens.functions.joins import with_scalar
 from martlens.params import Params
 from martlens.plans.tables import RetailTables
 
@@ -150,8 +151,8 @@ AUDIT_TOTALS = ("orders_total_mismatch", "UPDATE orders SET final_total = sub.ca
 def heal_audit_log(t: RetailTables, p: Params, fix_date: dt.datetime | None = None) -> DataFrame:
     """One audit row per heal that changed at least one row."""
     ts = fix_date or dt.datetime.combine(p.dq_as_of, dt.time())
-    counts = heal_orphan_orders_count(t, p).crossJoin(
-        heal_order_totals_count(t, p).withColumnRenamed("changed_rows", "n_totals"))
+    counts = with_scalar(heal_orphan_orders_count(t, p),
+                         heal_order_totals_count(t, p).withColumnRenamed("changed_rows", "n_totals"))
     rows = []
     for i, (name, sql, note) in enumerate((AUDIT_ORPHANS, AUDIT_TOTALS)):
         n = F.col("changed_rows") if i == 0 else F.col("n_totals")
