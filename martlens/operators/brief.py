@@ -30,8 +30,19 @@ def rnd(x, n: int) -> F.Column:
     return F.round(c.cast("double").cast("decimal(38,9)"), n).cast("double")
 
 
+def _materialized(df: DataFrame) -> DataFrame:
+    """Write a shared aggregate once to the shared checkpoint folder.
+
+    Many metrics read these aggregates with different column subsets; left lazy,
+    each would be pruned into its own re-scan of the fact table.  A reliable
+    checkpoint computes it once, survives executor loss and cuts the lineage."""
+    from martlens.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def _daily(t: RetailTables) -> DataFrame:
-    return t.memo("brief_daily", lambda: _daily_build(t))
+    return t.memo("brief_daily", lambda: _materialized(_daily_build(t)))
 
 
 def _daily_build(t: RetailTables) -> DataFrame:
@@ -133,7 +144,7 @@ def b06_top_category(t, p):
 
 
 def _per_customer(t: RetailTables) -> DataFrame:
-    return t.memo("brief_per_customer", lambda: _per_customer_build(t))
+    return t.memo("brief_per_customer", lambda: _materialized(_per_customer_build(t)))
 
 
 def _per_customer_build(t: RetailTables) -> DataFrame:
@@ -143,7 +154,7 @@ def _per_customer_build(t: RetailTables) -> DataFrame:
 
 
 def _items_per_product(t: RetailTables) -> DataFrame:
-    return t.memo("brief_items_per_product", lambda: _items_per_product_build(t))
+    return t.memo("brief_items_per_product", lambda: _materialized(_items_per_product_build(t)))
 
 
 def _items_per_product_build(t: RetailTables) -> DataFrame:
@@ -247,8 +258,9 @@ def b15_retention_30d(t, p):
 
 def b14_active_30d_pct(t, p):
     cutoff = F.date_sub(lit_date(p.brief_as_of), p.brief_active_days)
-    per = (t.orders.filter(F.col("customer_id").isNotNull()).groupBy("customer_id")
-           .agg(F.max(F.when(F.col("order_date") >= cutoff, 1).otherwise(0)).alias("a")))
+    # a customer has an order on/after the cut-off iff its latest order is
+    per = (_per_customer(t).filter(F.col("customer_id").isNotNull())
+           .select(F.when(F.col("last") >= cutoff, 1).otherwise(0).alias("a")))
     return per.agg(F.coalesce(rnd(ratio(F.sum("a"), F.count(F.lit(1))) * 100, 1), F.lit(0.0))
                    .alias("active_30d_pct"))
 
