@@ -62,6 +62,7 @@ def healed_views(t: RetailTables, p: Params):
     change = has & (ft.isNull() | (F.coalesce(ft, F.lit(0)) != F.col("calc_heal")))
     orders = o.select(
         "order_id", F.coalesce("customer_id", ghost).alias("customer_id"), "order_date",
+        "order_status", "payment_method", "shipping_country", "total_amount",
         F.when(F.coalesce(change, F.lit(False)), F.col("calc_heal")).otherwise(ft).cast("decimal(18,2)").alias("final_total"),
         "calc_view", "n_items")
     return customers, orders
@@ -113,9 +114,7 @@ def fused_violations(t: RetailTables, p: Params) -> DataFrame:
         _hit("i", F.col("_i").isNull(), "product_id", sort_n="product_id"),
     ])
 
-    healed = t.replace(customers=customers, orders=orders.drop("calc_view", "n_items")
-                       .join(t.orders.select("order_id", "order_status", "payment_method", "shipping_country",
-                                             "total_amount"), "order_id"))
+    healed = t.replace(customers=customers, orders=orders.drop("calc_view", "n_items"))
     small = []
     for letter in ("c", "f", "g", "l", "n", "q"):
         small.append(Q.BY_LETTER[letter].rows(healed if letter in ("c", "g") else t, p)
