@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martlens.functions.exprs import lit_date, lit_ts, pg_concat
+from martlens.functions.joins import with_scalar
 from martlens.params import Params
 from martlens.plans.tables import RetailTables
 from martlens.plans.views import (base_customers, base_inventory, base_order_items, base_orders,
@@ -225,25 +226,31 @@ def summarize_violations(spark, v: DataFrame, checks: list[Check]) -> DataFrame:
 
     Identical violations are first collapsed into weights by a full-key
     aggregate (a repeated key is folded map-side); that one exchange feeds both
-    the count and the sample branch, so the violations are produced once."""
+    the count and the sample branch, so the violations are produced once.  A
+    single check is summarised with global aggregates (provably one row each)."""
+    keys = ["seq"] if len(checks) > 1 else []
     vw = v.groupBy("seq", *SORT_KEYS, "sample").agg(F.sum("weight").alias("weight"))
-    counts = vw.groupBy("seq").agg(F.sum("weight").alias("row_count"))
-    w = Window.partitionBy("seq").orderBy(*[F.col(k).asc_nulls_last() for k in SORT_KEYS])
+    counts = vw.groupBy(*keys).agg(F.sum("weight").alias("row_count"))
+    w = Window.partitionBy(*keys).orderBy(*[F.col(k).asc_nulls_last() for k in SORT_KEYS])
     top = (vw.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= SAMPLE_SIZE)
-           .groupBy("seq")
+           .groupBy(*keys)
            .agg(F.array_sort(F.collect_list(F.struct("rn", "sample", "weight"))).alias("top")))
     # expand repeated violations (weight) only inside the <= 10 retained entries
     expanded = F.flatten(F.transform(
         "top", lambda x: F.array_repeat(x["sample"], F.least(x["weight"], F.lit(SAMPLE_SIZE)).cast("int"))))
-    samples = top.select("seq", F.array_join(F.slice(expanded, 1, SAMPLE_SIZE), ",").alias("sample_ids"))
-    meta = spark.createDataFrame(
-        [(i, c.name, c.severity, c.details) for i, c in enumerate(checks)],
-        "seq int, check_name string, severity string, details string")
-    # meta has one row per check (<= 18): bounded broadcast
-    return (F.broadcast(meta).join(counts, "seq").join(samples, "seq", "left")
-            .filter(F.col("row_count") > 0)
-            .select("seq", "check_name", "severity", F.col("row_count").cast("bigint").alias("row_count"),
-                    "sample_ids", "details"))
+    samples = top.select(*keys, F.array_join(F.slice(expanded, 1, SAMPLE_SIZE), ",").alias("sample_ids"))
+    if keys:
+        joined = counts.join(samples, keys, "left")
+    else:
+        joined = with_scalar(counts, samples).withColumn("seq", F.lit(0))
+
+    # check metadata by position: literal arrays, no join
+    def pick(attr):
+        return F.array(*[F.lit(getattr(c, attr)) for c in checks])[F.col("seq")]
+    return (joined.filter(F.col("row_count") > 0)
+            .select("seq", pick("name").alias("check_name"), pick("severity").alias("severity"),
+                    F.col("row_count").cast("bigint").alias("row_count"), "sample_ids",
+                    pick("details").alias("details")))
 
 
 def summarize(t: RetailTables, p: Params, checks: list[Check]) -> DataFrame:

@@ -79,3 +79,30 @@ def test_bucketed_facts_join_without_shuffle(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in text and "Exchange" not in text
+
+
+def _non_equi_joins_bounded(jplan):
+    """Yield (bounded, description) for every join without equality keys."""
+    stack = [jplan]
+    while stack:
+        node = stack.pop()
+        if node.nodeName() == "Join":
+            cond = node.condition()
+            has_equi = cond.isDefined() and "=" in cond.get().sql() and " = " in cond.get().sql()
+            if not has_equi:
+                sides = [node.left().maxRows(), node.right().maxRows()]
+                bounded = any(s.isDefined() and s.get() <= 1 for s in sides)
+                yield bounded, node.simpleString(200)
+        children = node.children()
+        for i in range(children.size()):
+            stack.append(children.apply(i))
+
+
+def test_joins_without_keys_have_a_one_row_side(spark, lake_tables):
+    from martlens.registry import operators
+    for key, op in operators().items():
+        if key == "stream_dq_monitor":
+            continue
+        jplan = op(lake_tables, P)._jdf.queryExecution().optimizedPlan()
+        for bounded, desc in _non_equi_joins_bounded(jplan):
+            assert bounded, (key, desc)
