@@ -319,4 +319,4 @@ def dq_notifications(t: RetailTables, p: Params) -> DataFrame:
 
 OPS = {f"dq_{c.letter}": check_op(c.letter) for c in CHECKS}
 OPS.update({"dq_c_intent": check_op("c", intent=True), "dq_q_oversold": dq_q_oversold,
-            "dq_run_all": dq_run_all, "snk_notify": dq_notifications})
+            "dq_run_all": dq_run_all, "fn_run_checks": dq_run_all, "snk_notify": dq_notifications})

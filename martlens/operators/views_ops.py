@@ -10,6 +10,7 @@ SRC_TABLES = ("customers", "products", "orders", "order_items", "inventory", "cu
               "promotions", "promotion_usage")
 
 OPS = {f"src_table_{n}": (lambda t, p, n=n: t[n]) for n in SRC_TABLES}
+OPS["src_table"] = lambda t, p: t["orders"]  # the canonical full scan; every table has its own key above
 OPS["src_ordered_scan"] = lambda t, p: t.dq_issues.orderBy(F.col("detected_at").asc_nulls_last(), "id")
 OPS.update({
     "view_base_orders": lambda t, p: views.base_orders(t),
