@@ -27,7 +27,6 @@ from martlens.operators import quality as Q
 from martlens.operators.cleaning import heal_ghost_customer
 from martlens.params import Params
 from martlens.plans.tables import RetailTables
-from martlens.plans.views import base_inventory
 
 SEQ = {c.letter: i for i, c in enumerate(Q.CHECKS)}
 

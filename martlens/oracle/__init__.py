@@ -4,7 +4,6 @@ Each statement = the retail mapping CTEs (FIXTURES.md) + base views + the
 question written independently in SQL with the fixture parameters inlined.
 """
 
-from martlens.oracle.mapping import with_prefix  # noqa: F401
 
 
 def oracle_sql() -> dict[str, str]:

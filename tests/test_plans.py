@@ -1,6 +1,5 @@
 """Physical-plan properties the operators are designed for."""
 
-import os
 import tempfile
 
 import pytest
