@@ -138,3 +138,16 @@ def test_data_quality_job_publishes_and_is_rerunnable(spark, tables, scratch):
     assert hist.select("run_id").distinct().count() == 2
     audit = spark.read.parquet(os.path.join(scratch, "data_fix_audit"))
     assert audit.filter(F.col("run_id") == r2).filter("check_name = 'orders_invalid_customer'").count() == 0
+
+
+def test_stream_monitor_on_order_items(spark, tables, scratch):
+    src = os.path.join(scratch, "items_src")
+    tables.order_items.write.parquet(src)
+    q = dq_monitor.start_dq_monitor(spark, "order_items", src, os.path.join(scratch, "isink"),
+                                    os.path.join(scratch, "ickpt"), P)
+    q.awaitTermination()
+    got = {(r.check_name, r.row_count) for r in dq_monitor.monitor_totals(spark, os.path.join(scratch, "isink")).collect()}
+    batch = quality.summarize(tables, P, [quality.BY_LETTER["m"], quality.BY_LETTER["p"]]).collect()
+    assert got == {(r.check_name, r.row_count) for r in batch} and got
+    notes = spark.read.parquet(os.path.join(scratch, "isink", "notifications")).collect()
+    assert {n.payload.split("|")[0] for n in notes} == {c for c, _ in got}
