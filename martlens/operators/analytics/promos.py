@@ -15,18 +15,17 @@ from martlens.plans.views import base_order_items, base_orders
 def q23_promo_effectiveness(t: RetailTables, p: Params) -> DataFrame:
     pu = t.promotion_usage.select("promotion_id", "order_id")
     items = base_order_items(t)
-    # per-order sums first: the usage join then carries one row per order, and an
-    # order used with two promotions is counted once for each, as in the question
-    per_order = items.groupBy("order_id").agg(
-        F.sum(discount_amount()).alias("disc"), F.sum("net_amount").alias("net"),
-        F.count(F.lit(1)).alias("n_items"))
+    # one item aggregate per (order, product) serves both the money totals and
+    # the product popularity; with items bucketed by order_id it needs no shuffle.
+    # Joined per usage row, an order used with two promotions counts for each.
+    pairs = items.groupBy("order_id", "product_id").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(discount_amount()).alias("disc"), F.sum("net_amount").alias("net"))
+    used = pu.join(pairs, "order_id")
     times = pu.groupBy("promotion_id").agg(F.count("order_id").alias("times_used"))
-    money = (pu.join(per_order, "order_id").groupBy("promotion_id")
-             .agg(F.round(F.sum("disc"), 2).alias("disc"), F.sum("net").alias("rev")))
+    money = used.groupBy("promotion_id").agg(F.round(F.sum("disc"), 2).alias("disc"), F.sum("net").alias("rev"))
     # most popular product per promotion: max of (count, -product_id) is a plain
     # aggregate (partial on the map side), ties go to the smallest product_id
-    pairs = items.groupBy("order_id", "product_id").agg(F.count(F.lit(1)).alias("n"))
-    top = (pu.join(pairs, "order_id").groupBy("promotion_id", "product_id").agg(F.sum("n").alias("cnt"))
+    top = (used.groupBy("promotion_id", "product_id").agg(F.sum("n").alias("cnt"))
            .groupBy("promotion_id")
            .agg(F.max(F.struct(F.col("cnt"), (-F.col("product_id")).alias("neg_pid"))).alias("best"))
            .select("promotion_id", (-F.col("best.neg_pid")).alias("most_popular_product")))
