@@ -10,7 +10,9 @@ violation row per (row, failed check) with ``explode``:
 * items   : one join to the product key set (B) plus row rules M and P;
 * customers: one join to the set of ordering customers (J) plus rule R;
 * products: one join to the inventory key set (I) plus rule E;
-* and the small passes G, C, F, L, N, Q.
+* reviews  : joins to per-product item counts and per-(product, customer)
+            purchases give check C's weighted rows; L is a row rule of the same pass;
+* and the small passes G, F, N, Q.
 
 The violation rows then go through ``quality.summarize_violations``.
 """
@@ -22,7 +24,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martlens.functions.exprs import lit_date, lit_ts, net_amount
+from martlens.functions.exprs import lit_date, lit_ts, net_amount, pg_concat
 from martlens.operators import quality as Q
 from martlens.operators.cleaning import heal_ghost_customer
 from martlens.params import Params
@@ -31,13 +33,15 @@ from martlens.plans.tables import RetailTables
 SEQ = {c.letter: i for i, c in enumerate(Q.CHECKS)}
 
 
-def _hit(letter: str, cond, sample, sort_n=None, sort_d=None, sort_s=None):
+def _hit(letter: str, cond, sample, sort_n=None, sort_d=None, sort_s=None, sort_n2=None, sort_n3=None,
+         weight=None):
     def typed(x, typ):
         return F.lit(None).cast(typ) if x is None else (F.col(x) if isinstance(x, str) else x).cast(typ)
     row = F.struct(F.lit(SEQ[letter]).alias("seq"), typed(sort_d, "date").alias("sort_d"),
                    typed(sort_s, "string").alias("sort_s"), typed(sort_n, "bigint").alias("sort_n"),
-                   F.lit(None).cast("bigint").alias("sort_n2"), F.lit(None).cast("bigint").alias("sort_n3"),
-                   typed(sample, "string").alias("sample"), F.lit(1).cast("bigint").alias("weight"))
+                   typed(sort_n2, "bigint").alias("sort_n2"), typed(sort_n3, "bigint").alias("sort_n3"),
+                   typed(sample, "string").alias("sample"),
+                   (F.lit(1) if weight is None else typed(weight, "bigint")).cast("bigint").alias("weight"))
     return F.when(cond, row)
 
 
@@ -114,11 +118,28 @@ def fused_violations(t: RetailTables, p: Params) -> DataFrame:
     ])
 
     healed = t.replace(customers=customers, orders=orders.drop("calc_view", "n_items"))
+
+    # reviews pass: C (literal pair count, weighted) and L, one scan of reviews
+    per_product = t.order_items.groupBy("product_id").agg(F.count(F.lit(1)).alias("n_items"))
+    r = (t.customer_reviews.select("review_id", "product_id", "customer_id", "review_date", "rating",
+                                   "is_verified_purchase")
+         .join(per_product, "product_id", "left")
+         .join(Q._purchases(healed), ["product_id", "customer_id"], "left"))
+    c_weight = F.when(F.col("n_items").isNull(), F.lit(1)).otherwise(
+        F.col("n_items") - F.coalesce("n_bought", F.lit(0)))
+    verified = F.col("is_verified_purchase") == F.lit(True)
+    v_reviews = _explode(r.withColumn("_w", c_weight), [
+        _hit("c", verified & (F.col("_w") > 0), pg_concat("product_id", F.lit("|"), "customer_id"),
+             sort_d="review_date", sort_n="product_id", sort_n2="customer_id", sort_n3="review_id", weight="_w"),
+        _hit("l", ~F.col("rating").between(1, 5), "review_id", sort_d="review_date", sort_n="review_id"),
+    ])
+
     small = []
-    for letter in ("c", "f", "g", "l", "n", "q"):
-        small.append(Q.BY_LETTER[letter].rows(healed if letter in ("c", "g") else t, p)
+    for letter in ("f", "g", "n", "q"):
+        small.append(Q.BY_LETTER[letter].rows(healed if letter == "g" else t, p)
                      .withColumn("seq", F.lit(SEQ[letter])))
-    out = v_orders.unionByName(v_items).unionByName(v_customers).unionByName(v_products)
+    out = (v_orders.unionByName(v_items).unionByName(v_customers).unionByName(v_products)
+           .unionByName(v_reviews))
     for s in small:
         out = out.unionByName(s)
     return out
