@@ -5,10 +5,11 @@ import os
 import pytest
 
 import __spark_entry__ as E
+from martlens.registry import queries
 from martlens.testing import compare, duck_connect
 
 SF = os.environ.get("MARTLENS_TEST_SF", "/root/testdata/sf0.001")
-KEYS = sorted(E.queries())
+KEYS = sorted(queries())
 ORACLE = E.oracle_sql()
 
 
