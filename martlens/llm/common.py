@@ -10,6 +10,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,6 +70,28 @@ def utf8(column: pa.ChunkedArray | pa.Array) -> list[bytes | None]:
     return column.cast(pa.large_binary()).to_pylist()
 
 
+class WordHashes(dict):
+    """64-bit hashes of words, each hashed once; forgets all when it holds ``most`` words."""
+
+    def __init__(self, most: int = 400_000):
+        super().__init__()
+        self.most, self.table = most, np.empty(1024, dtype=np.uint64)
+
+    def __missing__(self, word: bytes) -> int:
+        k = len(self)
+        if k == len(self.table):
+            self.table = np.concatenate((self.table, np.empty(k, dtype=np.uint64)))
+        self.table[k] = xxhash.xxh64_intdigest(word)
+        self[word] = k
+        return k
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        if len(self) > self.most:
+            self.clear()
+        at = np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words))
+        return self.table[at]  # read after the lookups, which may replace the table
+
+
 def list_arrays(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Flat values and offsets of a list column without null elements."""
     if isinstance(column, pa.ChunkedArray):

@@ -90,9 +90,10 @@ class FMIndex:
         """Backward step: the range of the match with ``word`` before it."""
         return (self.starts[word] + self.transform.count(word, low), self.starts[word] + self.transform.count(word, high))
 
-    def matches(self, ids: np.ndarray, begin: np.ndarray, end: np.ndarray) -> list[np.ndarray]:
+    def matches(self, ids: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For each streamed sequence ids[begin:end], by window start, the smallest owner of the
-        window's occurrences in the index; the largest number there is where it has none.
+        window's occurrences in the index; the largest number there is where it has none. Returned flat,
+        with the cuts between the sequences.
 
         Matching statistics from right to left, cut at the window: a match of full length is
         recorded, shortened by its last word (its range widens to the group that agrees in the
@@ -110,7 +111,7 @@ class FMIndex:
             last = at[active] + length[active]
             active = active[(at[active] >= begin[active]) & (last - begin[active] + 1 >= self.window)]
             if not len(active):
-                return np.split(out, cuts[1:-1])
+                return out, cuts
             lo, hi = self.extend(low[active], high[active], ids[at[active]])
             length[active] += 1
             full = length[active] == self.window

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlens.llm.common import (batches_of, deal_pairs, list_arrays, local_components, materialize, ready, runs, utf8,
+from martlens.llm.common import (WordHashes, batches_of, deal_pairs, list_arrays, local_components, materialize, ready, runs, utf8,
                                  words_of)
 from martlens.llm.components import connected_components
 
@@ -29,21 +29,15 @@ BLOCK_ROWS = 1024
 BLOCK_SHINGLES = 600_000
 SEED = 1301
 _FOUND = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
-_CACHE_WORDS = 400_000
 
 
-def shingles(text: bytes | None, known: dict[bytes, int], ngram: int = NGRAM) -> np.ndarray:
+def shingles(text: bytes | None, known: WordHashes, ngram: int = NGRAM) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the word n-grams; all words are one gram if there are fewer
     than ``ngram``. ``known`` caches word hashes."""
     words = words_of(text)
     if not words:
         return np.empty(0, dtype=np.uint64)
-    if len(known) > _CACHE_WORDS:
-        known.clear()
-    for w in set(words):
-        if w not in known:
-            known[w] = xxhash.xxh64_intdigest(w)
-    h = np.array([known[w] for w in words], dtype=np.uint64)
+    h = known.of(words)
     n = min(ngram, len(h))
     with np.errstate(over="ignore"):
         out = np.full(len(h) - n + 1, n, dtype=np.uint64)
@@ -84,7 +78,7 @@ def least_matches(threshold: float, tolerance: float) -> list[tuple[int, int]]:
 
 
 def _signed(batches, ngram: int):
-    known: dict[bytes, int] = {}
+    known = WordHashes()
     for batch in batches:
         sets, signs = [], []
         for text in utf8(batch.column("text")):
@@ -252,7 +246,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 
 def _sets(batches, ngram: int):
     """The gram sets of the documents that stand for their class, once a task."""
-    known: dict[bytes, int] = {}
+    known = WordHashes()
     seen: set[int] = set()
     for batch in batches:
         keep, sets = [], []

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlens.llm.common import list_arrays, materialize, ready, runs, utf8, words_of
+from martlens.llm.common import WordHashes, list_arrays, materialize, ready, runs, utf8, words_of
 from martlens.llm.fm_index import FMIndex
 
 WINDOW = 13
@@ -20,35 +20,39 @@ SHARD_WORDS = 250_000
 ANCHOR_PASSAGES = 20_000
 #: Anchors that a task gathers before it sends them on.
 GATHER = 1_500_000
-_CACHE_WORDS = 400_000
 _PASSAGE = ["doc_id", "text_key", "place", "anchor", "passage"]
 _PASSAGE_SCHEMA = "doc_id long, text_key long, place long, anchor long, passage binary"
 
 
 def anchor_gram(window: int) -> int:
     """Words of an anchor: short enough that a window has many to choose from, long enough to be rare."""
-    return max(1, window // 2 - 1)
+    return max(1, window // 2 + 1)
 
 
-def window_anchors(words: list[bytes], window: int, known: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+def window_anchors(words: list[bytes], window: int, known: WordHashes) -> tuple[np.ndarray, np.ndarray]:
     """(anchor place of each window, hash of the gram at each place). The anchor of a window is its
     first gram with the least hash, so equal windows have equal anchors."""
     n, gram = len(words), anchor_gram(window)
     if n < window:
         return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.uint64)
-    if len(known) > _CACHE_WORDS:
-        known.clear()
-    for w in set(words):
-        if w not in known:
-            known[w] = xxhash.xxh64_intdigest(w)
-    h = np.array([known[w] for w in words], dtype=np.uint64)
+    h = known.of(words)
     with np.errstate(over="ignore"):
         grams = np.full(n - gram + 1, gram, dtype=np.uint64)
         for k in range(gram):
             grams = (grams ^ h[k:n - gram + 1 + k]) * np.uint64(0x9E3779B97F4A7C15)
             grams ^= grams >> np.uint64(29)
-    choice = np.lib.stride_tricks.sliding_window_view(grams, window - gram + 1).argmin(axis=1)
-    return np.arange(n - window + 1) + choice, grams
+    return first_least(grams, window - gram + 1), grams
+
+
+def first_least(values: np.ndarray, width: int) -> np.ndarray:
+    """Place of the first least value in every run of ``width`` values, by runs of doubled width."""
+    at, held = np.arange(len(values)), 1
+    while held < width:
+        step = min(held, width - held)
+        left, right = at[:-step], at[step:]
+        at = np.where(values[right] < values[left], right, left)
+        held += step
+    return at
 
 
 def _text_key(text: bytes) -> int:
@@ -90,7 +94,7 @@ def _gathered(batches, window: int, buckets: int):
     """The anchors of a task's texts, packed by bucket. An anchor that two texts of the task share is
     known to be shared: its places go to bucket -1 and one of them to the others, for their sake, so
     an anchor sends a task's places once whatever number of texts holds it."""
-    known: dict[bytes, int] = {}
+    known = WordHashes()
     held: list[tuple[np.ndarray, int, np.ndarray]] = []
     n = 0
 
@@ -156,7 +160,7 @@ def _met(batches):
 
 def _passages(batches, window: int):
     """The windows of each shared anchor as one passage of words, for one document a text."""
-    known: dict[bytes, int] = {}
+    known = WordHashes()
     for batch in batches:
         out = ([], [], [], [], [])
         for doc, key, text, places in zip(batch.column("doc_id").to_pylist(), batch.column("text_key").to_pylist(),
@@ -167,57 +171,76 @@ def _passages(batches, window: int):
             for part in places:
                 wanted[part.values.to_numpy()] = True
             heads = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
-            tails = np.append(heads[1:], len(at))
-            for i, j in zip(heads[wanted[at[heads]]].tolist(), tails[wanted[at[heads]]].tolist()):
-                for column, v in zip(out, (doc, key, i, int(grams[at[i]].view(np.int64)), b" ".join(words[i:j - 1 + window]))):
-                    column.append(v)
-        yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in out[:4]), pa.array(out[4], pa.binary())], names=_PASSAGE)
+            tails = np.append(heads[1:], len(at)) + window - 1
+            use = wanted[at[heads]]
+            heads, tails = heads[use], tails[use]
+            joined, begins = b" ".join(words), np.cumsum([0, *(len(w) + 1 for w in words)])
+            for column, v in zip(out, (np.full(len(heads), doc), np.full(len(heads), key), heads, grams[at[heads]].view(np.int64))):
+                column.append(v)
+            out[4].extend([joined[i:j] for i, j in zip(begins[heads].tolist(), (begins[tails] - 1).tolist())])
+        yield pa.RecordBatch.from_arrays(
+            [*(pa.array(np.concatenate([*c, np.empty(0, np.int64)])) for c in out[:4]), pa.array(out[4], pa.binary())], names=_PASSAGE)
 
 
 def _windows(batches, window: int):
-    """Passages of a crowded anchor as single windows, each an anchor of its own."""
+    """Passages as single windows, each an anchor of its own."""
     for batch in batches:
         out = ([], [], [], [], [])
-        for doc, key, place, anchor, text, crowded in zip(*(batch.column(c).to_pylist() for c in (*_PASSAGE, "crowded"))):
-            words = text.split() if crowded else ()
-            parts = [(doc, key, place, anchor, text)] if not crowded else [
-                (doc, key, place + k, _text_key(part), part)
-                for k in range(len(words) - window + 1) for part in [b" ".join(words[k:k + window])]]
-            for column, v in zip(out, zip(*parts)):
-                column.extend(v)
+        for doc, key, place, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_key", "place", "passage"))):
+            words = text.split()
+            for k in range(len(words) - window + 1):
+                part = b" ".join(words[k:k + window])
+                for column, v in zip(out, (doc, key, place + k, _text_key(part), part)):
+                    column.append(v)
         yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in out[:4]), pa.array(out[4], pa.binary())], names=_PASSAGE)
 
 
+class _Numbers(dict):
+    """Numbers from 1 in order of first use."""
+
+    def __missing__(self, word: bytes) -> int:
+        return self.setdefault(word, len(self) + 1)
+
+
 def _searched(batches, window: int):
     """FM-indexes over the passages of a partition, whole anchors at a time; every passage is
     streamed through its shard's index for the first document of each of its windows."""
-    held: list[pa.Table] = []
-    n = 0
+    held: list[pa.RecordBatch] = []
+    n, last = 0, None
 
     def search():
-        rows = pa.concat_tables(held)
-        texts = [t.split() for t in rows.column("passage").to_pylist()]
-        number: dict[bytes, int] = {}
-        ids, ends = [], []
-        for words in texts:
-            ids.extend(number.setdefault(w, len(number) + 1) for w in words)
-            ends.append(len(ids))
-            ids.append(0)
-        ids, end = np.array(ids, dtype=np.int64), np.array(ends, dtype=np.int64)
-        begin = np.append(0, end[:-1] + 1)
-        owner = np.repeat(rows.column("first_doc").to_numpy(), end - begin + 1)
-        found = FMIndex(ids, owner, window).matches(ids, begin, end)
+        rows = pa.Table.from_batches(held)
+        texts = rows.column("passage").to_pylist()
+        number = _Numbers()
+        words = b" ".join(texts).split()
+        sizes = np.array([t.count(b" ") + 1 for t in texts], dtype=np.int64)
+        end = np.cumsum(sizes + 1) - 1
+        ids = np.zeros(len(words) + len(texts), dtype=np.int64)
+        ids[np.arange(len(words)) + np.repeat(np.arange(len(texts)), sizes)] = np.fromiter(
+            map(number.__getitem__, words), dtype=np.int64, count=len(words))
+        begin = end - sizes
+        owner = np.repeat(rows.column("first_doc").to_numpy(), sizes + 1)
+        found, cuts = FMIndex(ids, owner, window).matches(ids, begin, end)
         return pa.RecordBatch.from_arrays(
-            [rows.column("anchor").combine_chunks(), rows.column("passage_key").combine_chunks(),
-             _lists(np.concatenate(found), np.cumsum([0, *map(len, found)]))], names=["anchor", "passage_key", "firsts"])
-
-    for _, rows in runs(batches, ["anchor"]):
-        size = pa.compute.sum(rows.column("size")).as_py()
-        if held and n + size > SHARD_WORDS:
-            yield search()
-            held, n = [], 0
-        held.append(rows)
-        n += size
+            [rows.column("anchor").combine_chunks(), rows.column("passage_key").combine_chunks(), _lists(found, cuts)],
+            names=["anchor", "passage_key", "firsts"])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        anchor = batch.column("anchor").to_numpy()
+        size = np.cumsum(batch.column("size").to_numpy())
+        new = np.flatnonzero(anchor != np.append(anchor[0] if last is None else last, anchor[:-1]))
+        at, before = 0, 0.0
+        for i in new.tolist():  # an index ends before a new anchor
+            upto = size[i - 1] if i else 0.0
+            if n + upto - before > SHARD_WORDS and (held or i > at):
+                if i > at:
+                    held.append(batch.slice(at, i - at))
+                yield search()
+                held, n, at, before = [], 0, i, upto
+        held.append(batch.slice(at))
+        n, last = n + size[-1] - before, anchor[-1]
     if held:
         yield search()
 
@@ -255,10 +278,9 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
     texts = materialize(rows.join(wanted, "doc_id").mapInArrow(_own_text, "doc_id long, text_key long, text string, places array<array<int>>"), "texts")
     passages = materialize(texts.mapInArrow(lambda b: _passages(b, window), _PASSAGE_SCHEMA), "passages")
     crowded = materialize(passages.groupBy("anchor").agg(F.approx_count_distinct("passage").alias("n"))
-                          .where(F.col("n") > ANCHOR_PASSAGES).select("anchor", F.lit(True).alias("crowded")), "crowded")
-    split = (passages.join(crowded, "anchor", "left").select(*_PASSAGE, F.coalesce("crowded", F.lit(False)).alias("crowded"))
-             .mapInArrow(lambda b: _windows(b, window), _PASSAGE_SCHEMA)
-             .withColumn("passage_key", F.md5("passage")))
+                          .where(F.col("n") > ANCHOR_PASSAGES).select("anchor"), "crowded")
+    split = (passages.join(crowded, "anchor", "left_semi").mapInArrow(lambda b: _windows(b, window), _PASSAGE_SCHEMA)
+             .unionByName(passages.join(crowded, "anchor", "left_anti")).withColumn("passage_key", F.md5("passage")))
     content = (split.groupBy("anchor", "passage_key").agg(F.min("doc_id").alias("first_doc"), F.min("passage").alias("passage"))
                .withColumn("size", F.length("passage") / 4))
     found = (content.repartition("anchor").sortWithinPartitions("anchor")
