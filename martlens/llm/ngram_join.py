@@ -229,7 +229,8 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
         lambda b: batches_of(_pruned(b, threshold, tolerance), _FOUND), "a long, b long, n long").select("a", "b"), "likely")
     parts = connected_components(likely).select(F.col("node").alias("class_id"), F.col("component").alias("part"))
     parted = parts.join(classes.select("gram_set", F.col("class_id").alias("doc_id"), "copies"), F.col("doc_id") == F.col("class_id")).drop("class_id")
-    sets = materialize(rows.join(materialize(parted, "parts"), "doc_id").mapInArrow(
+    # both sides are dealt by id at any size: the parts grow with the documents
+    sets = materialize(rows.join(materialize(parted, "parts").hint("merge"), "doc_id").mapInArrow(
         lambda b: _sets(b, ngram), "class_id long, part long, copies long, weight long, grams array<long>"), "sets")
     cells = deal_pairs(sets, ["part"], "class_id", BLOCK_SHINGLES, F.col("weight"))
     found = materialize(cells.mapInArrow(
