@@ -73,7 +73,7 @@ def utf8(column: pa.ChunkedArray | pa.Array) -> list[bytes | None]:
 class WordHashes(dict):
     """64-bit hashes of words, each hashed once; forgets all when it holds ``most`` words."""
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, most: int = 200_000):
         super().__init__()
         self.most, self.table = most, np.empty(1024, dtype=np.uint64)
 

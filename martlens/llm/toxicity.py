@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlens.llm.common import columns, ready
+from martlens.llm.common import columns, list_arrays, ready
 
 BUCKETS = 1 << 18
 #: A word counts as itself and as its beginnings of so many characters, which its inflections share.
@@ -24,7 +26,7 @@ EPOCHS = 8
 RATE, DECAY = 1.0, 1e-6
 #: Clean rows outnumber toxic ones ten to one and score far lower; at this cut about one clean row in ten thousand is rejected.
 THRESHOLD = 0.1
-_CACHE_WORDS = 400_000
+_CACHE_WORDS = 200_000
 _WORD = re.compile(r"\w+")
 
 
@@ -92,14 +94,18 @@ def fit_chain(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, fol
 
 
 def _features(batches):
+    """The distinct features of each text and how many of its words have them."""
     for batch in batches:
-        found = []
+        names = [c for c in batch.schema.names if c != "text"]
+        found, counts = [], []
         for text in batch.column("text").to_pylist():
             own = sorted(words(text), key=lambda w: zlib.crc32(w.encode("utf-8", "surrogatepass")))[:TRAIN_WORDS]
-            found.append([f for w in own for f in word_features(w)])
+            at, n = np.unique(np.array([f for w in own for f in word_features(w)], dtype=np.int32), return_counts=True)
+            found.append(at)
+            counts.append(n.astype(np.float32))
         yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c) for c in batch.schema.names if c != "text"), pa.array(found, pa.list_(pa.int32()))],
-            names=[*(c for c in batch.schema.names if c != "text"), "features"])
+            [*(batch.column(c) for c in names), pa.array(found, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.float32()))],
+            names=[*names, "features", "counts"])
 
 
 def train(docs: DataFrame, labels: DataFrame, categories: list[str], id_col: str = "doc_id", text: str = "text",
@@ -121,18 +127,48 @@ def train(docs: DataFrame, labels: DataFrame, categories: list[str], id_col: str
     sample = (docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).join(F.broadcast(drawn), "id")
               .select("id", *names, F.pmod(F.crc32(F.col("text").cast("binary")), F.lit(FOLDS)).cast("int").alias("fold"), "text")
               .where("text is not null"))
-    schema = "id " + drawn.schema["id"].dataType.simpleString() + "".join(f", {n} int" for n in names) + ", fold int, features array<int>"
+    schema = "id " + drawn.schema["id"].dataType.simpleString() + "".join(f", {n} int" for n in names) + ", fold int, features array<int>, counts array<float>"
     got = sample.mapInArrow(_features, schema).orderBy("id", "fold").toArrow()
     if not got.num_rows:
         return []
-    rows = []
-    for features in got.column("features").combine_chunks():
-        at, n = np.unique(features.values.to_numpy(), return_counts=True) if len(features) else (np.empty(0, np.int32), np.empty(0))
-        rows.append((at, n.astype(np.float32)))
+    (at, ends), (n, _) = (list_arrays(got.column(c)) for c in ("features", "counts"))
+    rows = list(zip(np.split(at, ends[:-1]), np.split(n, ends[:-1])))
     y = np.column_stack([got.column(n).to_numpy() for n in names]).astype(np.float64)
     return fit_chain(rows, y, got.column("fold").to_numpy())
 
 
+class _WordScores(dict):
+    """Each word's weight in every model of a chain, looked up once."""
+
+    def __init__(self, chain: list[LinearModel]):
+        super().__init__()
+        self.chain = chain
+        self.weights = np.stack([m.weights for m in chain]) if chain else None
+        self.table = np.zeros((_CACHE_WORDS + 1, len(chain)))
+
+    def __missing__(self, word: str) -> int:
+        k = len(self) % len(self.table)
+        self.table[k] = self.weights[:, word_features(word)].sum(axis=1, dtype=np.float64)
+        self[word] = k
+        return k
+
+    def probabilities(self, own: set[str]) -> list[float]:
+        """Of the categories in order; all 0 for a document without words."""
+        if not own:
+            return [0.0] * len(self.chain)
+        total, parts = np.zeros(len(self.chain)), list(own)
+        for at in range(0, len(parts), _CACHE_WORDS):
+            some = parts[at:at + _CACHE_WORDS]
+            if len(self) + len(some) > _CACHE_WORDS:
+                self.clear()
+            total += self.table[np.fromiter(map(self.__getitem__, some), dtype=np.int64, count=len(some))].sum(axis=0)
+        p: list[float] = []
+        for z, model in zip(total, self.chain):
+            z += model.bias + float(model.chain @ np.array(p))
+            p.append(float(1 / (1 + np.exp(-np.clip(z, -30, 30)))))
+        return p
+
+
 def classify(docs: DataFrame, chain: list[LinearModel], categories: list[str], text: str = "text",
              threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with p_<category> for each category and ``rejected``, whether the last one reaches
@@ -146,29 +182,11 @@ def classify(docs: DataFrame, chain: list[LinearModel], categories: list[str], t
     shared = spark.sparkContext.broadcast(chain)
 
     @F.pandas_udf("array<double>")
-    def scores(texts):
-        import pandas as pd
+    def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         chain = shared.value
-        weights = np.stack([m.weights for m in chain]) if chain else None
-        known: dict[str, np.ndarray] = {}
-        out = []
-        for value in texts:
-            own = words(value)
-            if not own or not chain:
-                out.append([0.0] * len(names))
-                continue
-            if len(known) > _CACHE_WORDS:
-                known.clear()
-            for w in own:
-                if w not in known:
-                    known[w] = weights[:, word_features(w)].sum(axis=1, dtype=np.float64)
-            total = np.array([known[w] for w in own]).sum(axis=0)
-            p: list[float] = []
-            for c, model in enumerate(chain):
-                z = total[c] + model.bias + float(model.chain @ np.array(p))
-                p.append(float(1 / (1 + np.exp(-np.clip(z, -30, 30)))))
-            out.append(p)
-        return pd.Series(out)
+        known = _WordScores(chain)  # kept from batch to batch
+        for texts in batches:
+            yield pd.Series([known.probabilities(words(t)) if chain else [0.0] * len(names) for t in texts], dtype=object)
 
     scored = docs.select(*columns(docs), scores(F.col(text)).alias("llm_scores"))
     return scored.select(*columns(docs), *[F.col("llm_scores")[k].alias(n) for k, n in enumerate(names)],
