@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import re
 from functools import lru_cache
 
 import pyarrow as pa
@@ -13,20 +14,44 @@ from martlens.llm.common import columns, ready
 
 
 def vocabulary_path() -> str:
-    """The 50k byte-level vocabulary as ranks; each machine has the public files in its Python."""
+    """The 50k byte-level vocabulary as ranks, the same as .json beside it; each machine has the
+    public files in its Python."""
     import public_tokenizers
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+#: Runs of letters or blanks from this length on go to the slower library: the fast one takes time
+#: in the square of such a run.
+LONG_RUN = 1000
+_BLANKS = re.compile(r"\s{%d}" % LONG_RUN)
+
+
+class Encoder:
+    """Ids of the vocabulary's ``tokenizers`` file without special tokens, whose text is ordinary
+    text; read by ``tiktoken``, three times as fast, but for texts with very long runs."""
+
+    def __init__(self, path: str):
+        import public_tokenizers
+        import tiktoken
+        with open(path, "rb") as f:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.steady = None
+        self.steady_path = path.removesuffix(".tiktoken") + ".json"
+
+    def encode(self, text: str) -> list[int]:
+        if len(text) < LONG_RUN or max(map(len, text.split()), default=0) < LONG_RUN and not _BLANKS.search(text):
+            return self.fast.encode_ordinary(text)
+        if self.steady is None:
+            from tokenizers import Tokenizer
+            self.steady = Tokenizer.from_file(self.steady_path)
+            self.steady.encode_special_tokens = True
+        return self.steady.encode(text, add_special_tokens=False).ids
+
+
 @lru_cache(maxsize=2)
-def encoder(path: str):
-    """Same ids as the vocabulary's ``tokenizers`` file without special tokens, read three times
-    as fast. The text of a special token is ordinary text."""
-    import public_tokenizers
-    import tiktoken
-    with open(path, "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+def encoder(path: str) -> Encoder:
+    return Encoder(path)
 
 
 def with_token_counts(docs: DataFrame, text: str = "text", name: str = "n_tokens", path: str | None = None) -> DataFrame:
@@ -36,7 +61,7 @@ def with_token_counts(docs: DataFrame, text: str = "text", name: str = "n_tokens
     @F.pandas_udf("long")
     def count(texts):
         import pandas as pd
-        encode = encoder(path or vocabulary_path()).encode_ordinary
+        encode = encoder(path or vocabulary_path()).encode
         return pd.Series([len(encode(t)) if t else 0 for t in texts], dtype="int64")
 
     return docs.select(*[c for c, n in zip(columns(docs), docs.columns) if n != name], count(F.col(text)).alias(name))
@@ -51,7 +76,7 @@ def cut_tokens(docs: DataFrame, key: Column, text: str, length: int, end_id: int
 
     def cut(batches):
         import numpy as np
-        encode = encoder(path or vocabulary_path()).encode_ordinary
+        encode = encoder(path or vocabulary_path()).encode
         for batch in batches:
             keys, out = batch.column("key"), ([], [], [], [], [])
             for row, value in enumerate(batch.column("text").to_pylist()):
