@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlens.functions.exprs import lit_date, lit_ts
+from martlens.functions.exprs import lit_ts
 from martlens.params import Params
 from martlens.plans.tables import RetailTables
 
@@ -15,7 +15,8 @@ ISSUE_COLS = ["check_name", "severity", "row_count", "sample_ids", "details", "d
 
 
 def _today(t: RetailTables, p: Params) -> DataFrame:
-    return t.dq_issues.filter(F.to_date("detected_at") == lit_date(p.alert_as_of))
+    day = dt.datetime.combine(p.alert_as_of, dt.time())  # a range, so that it reaches the scan
+    return t.dq_issues.filter((F.col("detected_at") >= lit_ts(day)) & (F.col("detected_at") < lit_ts(day + dt.timedelta(days=1))))
 
 
 def al_today_high(t: RetailTables, p: Params) -> DataFrame:
@@ -43,8 +44,8 @@ def al_outstanding(t: RetailTables, p: Params) -> DataFrame:
     end = dt.datetime.combine(p.alert_as_of, dt.time())
     recent = (t.dq_issues.filter((F.col("detected_at") >= lit_ts(start)) & (F.col("detected_at") < lit_ts(end)))
               .groupBy("check_name", "severity", "details").agg(F.max("detected_at").alias("last_seen")))
-    last_fix = (t.data_fix_audit.filter(F.col("audit_id").isNotNull())
-                .groupBy("check_name").agg(F.max("fix_date").alias("last_fix")))
+    # a fix entered by hand counts before the table has given it an id
+    last_fix = (t.data_fix_audit.groupBy("check_name").agg(F.max("fix_date").alias("last_fix")))
     open_ = (recent.join(last_fix, "check_name", "left")
              .filter(F.col("last_fix").isNull() | (F.col("last_fix") < F.col("last_seen"))))
     return (open_.orderBy(F.col("last_seen").desc(), "check_name", "severity", "details").limit(p.alert_cap)

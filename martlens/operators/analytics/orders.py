@@ -15,7 +15,7 @@ from martlens.plans.views import base_order_items, base_orders
 def q16_status_share(t: RetailTables, p: Params) -> DataFrame:
     o = base_orders(t)
     by_status = o.groupBy("order_status").agg(F.count(F.lit(1)).alias("status_count"))
-    total = o.agg(F.count(F.lit(1)).alias("total_count"))
+    total = by_status.agg(F.sum("status_count").alias("total_count"))  # of the few groups, not of the orders again
     return (with_scalar(by_status, total)
             .select("order_status", "status_count",
                     rnd(ratio(F.col("status_count") * 100, "total_count"), 2).alias("status_percentage"))

@@ -23,7 +23,7 @@ AUTO = "SYSTEM_AUTO_HEAL"
 
 
 def _count(df: DataFrame, cond, name: str = "changed_rows") -> DataFrame:
-    return df.agg(F.count_if(cond).cast("bigint").alias(name))
+    return df.filter(cond).agg(F.count(F.lit(1)).alias(name))  # a filter reaches the scan
 
 
 # --------------------------------------------------------------------------- fixes
@@ -110,8 +110,9 @@ def heal_ghost_customer(t: RetailTables, p: Params) -> DataFrame:
     vals.update({k: F.lit(v) for k, v in GHOST.items()})
     ghost = t.spark.range(1).select(*[vals.get(c, F.lit(None)).cast(cu.schema[c].dataType).alias(c)
                                       for c in cu.columns])
-    # INSERT ... ON CONFLICT DO NOTHING: only if the id is absent
-    return cu.unionByName(ghost.join(cu.select("customer_id"), "customer_id", "left_anti"))
+    # INSERT ... ON CONFLICT DO NOTHING: only if the id is absent; one row tells, however often it is there
+    there = cu.filter(F.col("customer_id") == F.lit(p.ghost_customer_id)).select("customer_id").limit(1)
+    return cu.unionByName(ghost.join(there, "customer_id", "left_anti"))
 
 
 def heal_orphan_orders(t: RetailTables, p: Params) -> DataFrame:

@@ -67,10 +67,8 @@ class NotNull:
     tbl: str
     col: str
 
-    def run(self, t: RetailTables) -> DataFrame:
-        pk = schemas.PRIMARY_KEYS[self.tbl]
-        bad = t[self.tbl].filter(F.col(self.col).isNull())
-        return _out(bad, "not_null", self.tbl, self.col, F.col(pk), F.lit(None))
+    def hit(self):
+        return F.col(self.col).isNull(), "not_null", self.col, F.lit(None)
 
 
 @dataclasses.dataclass(frozen=True)
@@ -79,10 +77,8 @@ class Check:
     name: str
     expr: str  # SQL boolean expression; a NULL result passes, as a CHECK does
 
-    def run(self, t: RetailTables) -> DataFrame:
-        pk = schemas.PRIMARY_KEYS[self.tbl]
-        bad = t[self.tbl].filter(F.expr(self.expr) == F.lit(False))
-        return _out(bad, "check", self.tbl, self.name, F.col(pk), F.lit(self.expr))
+    def hit(self):
+        return F.expr(self.expr) == F.lit(False), "check", self.name, F.lit(self.expr)
 
 
 @dataclasses.dataclass(frozen=True)
@@ -91,17 +87,33 @@ class AcceptedValues:
     col: str
     values: tuple
 
-    def run(self, t: RetailTables) -> DataFrame:
-        pk = schemas.PRIMARY_KEYS[self.tbl]
-        bad = t[self.tbl].filter(~F.col(self.col).isin(*self.values))
-        return _out(bad, "accepted_values", self.tbl, self.col, F.col(pk), F.col(self.col))
+    def hit(self):
+        return ~F.col(self.col).isin(*self.values), "accepted_values", self.col, F.col(self.col)
+
+
+def _row_rules(t: RetailTables, tbl: str, rules: list) -> DataFrame:
+    """All single-row rules of a table in one pass: rows that break any of them, one row a breach."""
+    key = F.col(schemas.PRIMARY_KEYS[tbl]).cast("string")
+    hits, any_bad = [], F.lit(False)
+    for bad, rule, col, value in (r.hit() for r in rules):
+        any_bad = any_bad | bad
+        hits.append(F.when(bad, F.struct(F.lit(rule).alias("rule"), F.lit(tbl).alias("tbl"), F.lit(col).alias("col"),
+                                         key.alias("row_key"), value.cast("string").alias("value"))))
+    return (t[tbl].filter(any_bad).select(F.explode(F.array_compact(F.array(*hits))).alias("hit"))
+            .select(*[F.col(f"hit.{c}").alias(c) for c in OUT]))
 
 
 def validate(t: RetailTables, rules) -> DataFrame:
-    out = None
+    parts, by_table = [], {}
     for r in rules:
-        v = r.run(t)
-        out = v if out is None else out.unionByName(v)
+        if hasattr(r, "hit"):
+            by_table.setdefault(r.tbl, []).append(r)
+        else:
+            parts.append(r.run(t))
+    parts += [_row_rules(t, tbl, own) for tbl, own in by_table.items()]
+    out = parts[0]
+    for v in parts[1:]:
+        out = out.unionByName(v)
     return out
 
 

@@ -46,7 +46,7 @@ _TABLE_CACHE: dict[tuple, RetailTables] = {}
 
 
 def tables_for(spark: SparkSession, sf_dir: str) -> RetailTables:
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)  # an id of the object may be used again
     if key not in _TABLE_CACHE:
         _TABLE_CACHE[key] = RetailTables.from_fixture(spark, sf_dir)
     return _TABLE_CACHE[key]

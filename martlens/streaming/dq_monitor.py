@@ -59,7 +59,8 @@ def start_dq_monitor(spark: SparkSession, table: str, source_path: str, sink_roo
 
 def monitor_totals(spark: SparkSession, sink_root: str) -> DataFrame:
     """Issue counts summed over all processed batches."""
-    return (spark.read.parquet(f"{sink_root}/issues")
+    # the schema is stated: a run that found nothing has left no file to infer it from
+    return (spark.read.schema("check_name string, severity string, row_count bigint, batch_id bigint").parquet(f"{sink_root}/issues")
             .groupBy("check_name", "severity").agg(F.sum("row_count").cast("bigint").alias("row_count")))
 
 
