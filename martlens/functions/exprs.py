@@ -70,9 +70,6 @@ def pg_dow(d) -> Column:
     return F.dayofweek(c(d)) - 1
 
 
-DAY_NAMES = ["Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday"]
-
-
 def day_name(d) -> Column:
     """Full English weekday name (TO_CHAR(d,'Day') with padding stripped)."""
     return F.date_format(c(d), "EEEE")

@@ -17,8 +17,3 @@ def with_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Attach the columns of a one-row aggregate (global agg, no GROUP BY) to
     every row. The right side is exactly one row, so the broadcast is bounded."""
     return df.crossJoin(F.broadcast(one_row))
-
-
-def anti(left: DataFrame, right: DataFrame, on) -> DataFrame:
-    """LEFT JOIN ... WHERE right.key IS NULL  ==  left_anti (NULL keys kept)."""
-    return left.join(right, on=on, how="left_anti")

@@ -1,47 +1,28 @@
-"""Window helpers that stay bounded when one key holds a large share of rows."""
+"""Row numbers that no single task has to hold."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rows per key above which a key is numbered by the distributed path.
-HOT_KEY_ROWS = 1_000_000
-
-
-def row_number_within(df: DataFrame, key: str, order_cols: list[str], out: str = "rn",
-                      hot_rows: int = HOT_KEY_ROWS, hot_partitions: int | None = None) -> DataFrame:
-    """``row_number() over (partition by key order by order_cols)`` without ever
-    putting all rows of one key into one task.
-
-    Keys with at most ``hot_rows`` rows use the plain window (one shuffle on
-    ``key``; every partition of the window is bounded by ``hot_rows``).  Rows of
-    hotter keys are range-partitioned on (key, order_cols), which splits a key
-    over many partitions in sort order; each row is numbered inside its
-    (partition, key) slice and shifted by the number of rows of that key in
-    earlier partitions (a running sum over at most one row per partition).
-    """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.filter(F.col("_n") > hot_rows).select(key, F.lit(True).alias("_hot"))
-    # the hot-key set has at most rows / hot_rows entries; AQE broadcasts it
-    # when its measured size is small and shuffles otherwise
-    flagged = df.join(hot, key, "left")
-    is_hot = F.coalesce(F.col("_hot"), F.lit(False))
-
-    cold = flagged.filter(~is_hot).drop("_hot")
-    w = Window.partitionBy(key).orderBy(*order_cols)
-    cold = cold.withColumn(out, F.row_number().over(w))
-
-    hot_rows_df = flagged.filter(is_hot).drop("_hot")
-    n_parts = hot_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (hot_rows_df.repartitionByRange(n_parts, key, *order_cols)
-              .withColumn("_pid", F.spark_partition_id()))
-    local = ranged.withColumn(
-        "_local", F.row_number().over(Window.partitionBy("_pid", key).orderBy(*order_cols)))
-    per_part = ranged.groupBy(key, "_pid").agg(F.count(F.lit(1)).alias("_cnt"))
-    before = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_part.select(key, "_pid", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
-    hot_out = (local.join(offsets, [key, "_pid"])
-               .withColumn(out, (F.col("_off") + F.col("_local")).cast("int"))
-               .drop("_pid", "_local", "_off"))
-    return cold.unionByName(hot_out)
+_LOCAL = (1 << 33) - 1  # Spark's increasing ids: partition in the high bits, place in it in the low 33
+
+
+def number_rows(df: DataFrame, order_cols: list[str], out: str = "rn", partitions: int | None = None) -> DataFrame:
+    """``row_number() over (order by order_cols)`` as BIGINT, spread over all tasks.
+
+    Rows are range-partitioned on ``order_cols``, so a key of any size is split in sort order; each row
+    takes its place in its partition plus the number of rows in earlier partitions (a running sum over one
+    row per partition, which is also all that is broadcast). ``order_cols`` has to name every column of
+    ``df``: then only equal rows can tie, and both uses of the ranged rows read one exchange."""
+    assert set(order_cols) == set(df.columns), "order by every column"
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+              .withColumn("_at", F.monotonically_increasing_id())
+              .withColumn("_part", F.shiftright("_at", 33)))
+    sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    return (ranged.join(F.broadcast(offsets), "_part")
+            .withColumn(out, F.col("_before") + F.col("_at").bitwiseAND(F.lit(_LOCAL)) + 1)
+            .drop("_part", "_at", "_before"))

@@ -10,6 +10,10 @@ cross-joins the one-row results; identical sub-plans are reused exchanges.
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,19 +34,29 @@ def rnd(x, n: int) -> F.Column:
     return F.round(c.cast("double").cast("decimal(38,9)"), n).cast("double")
 
 
-def _materialized(df: DataFrame) -> DataFrame:
-    """Write a shared aggregate once to the shared checkpoint folder.
+#: What the last brief row of an application keeps, so that the next one frees it.
+_KEPT: list[tuple[str, DataFrame]] = []
+
+
+def _kept(df: DataFrame) -> DataFrame:
+    """``df`` stored on the executors' disks when an action first needs it, lost parts being recomputed.
+
+    Many metrics read a shared aggregate with different columns; column pruning would else make each scan
+    the fact table again. Nothing runs here, and the tag keeps an earlier row's data from answering."""
+    tagged = df.withColumn("_row", F.lit(uuid.uuid4().hex)).persist(StorageLevel.DISK_ONLY)
+    _KEPT.append((df.sparkSession.sparkContext.applicationId, tagged))
+    return tagged.drop("_row")
 
-    Many metrics read these aggregates with different column subsets; left lazy,
-    each would be pruned into its own re-scan of the fact table.  A reliable
-    checkpoint computes it once, survives executor loss and cuts the lineage."""
-    from martlens.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+
+def _free(spark) -> None:
+    while _KEPT:
+        app, df = _KEPT.pop()
+        if app == spark.sparkContext.applicationId:
+            df.unpersist()
 
 
 def _daily(t: RetailTables) -> DataFrame:
-    return t.memo("brief_daily", lambda: _materialized(_daily_build(t)))
+    return t.memo("brief_daily", lambda: _daily_build(t))
 
 
 def _daily_build(t: RetailTables) -> DataFrame:
@@ -144,7 +158,7 @@ def b06_top_category(t, p):
 
 
 def _per_customer(t: RetailTables) -> DataFrame:
-    return t.memo("brief_per_customer", lambda: _materialized(_per_customer_build(t)))
+    return t.memo("brief_per_customer", lambda: _per_customer_build(t))
 
 
 def _per_customer_build(t: RetailTables) -> DataFrame:
@@ -154,7 +168,7 @@ def _per_customer_build(t: RetailTables) -> DataFrame:
 
 
 def _items_per_product(t: RetailTables) -> DataFrame:
-    return t.memo("brief_items_per_product", lambda: _materialized(_items_per_product_build(t)))
+    return t.memo("brief_items_per_product", lambda: _items_per_product_build(t))
 
 
 def _items_per_product_build(t: RetailTables) -> DataFrame:
@@ -189,6 +203,15 @@ def _product_sale_dates_build(t: RetailTables) -> DataFrame:
                  F.count_if(F.col("order_date").isNull()).alias("n_undated")))
 
 
+def _product_facts(t: RetailTables) -> DataFrame:
+    """Both per-product aggregates from one pass over items LEFT JOIN orders."""
+    od = t.orders.select("order_id", "order_date")
+    return (t.order_items.join(od, "order_id", "left").groupBy("product_id")
+            .agg(F.sum(gross_amount()).alias("gross"), F.sum(net_amount(coalesce_discount=True)).alias("net0"),
+                 F.sum("quantity").alias("qty"), F.min("order_date").alias("first_sale"),
+                 F.max("order_date").alias("last_sale"), F.count_if(F.col("order_date").isNull()).alias("n_undated")))
+
+
 def b07_rfm_ltv(t, p):
     c = with_scalar(_per_customer(t), _report_date(t))
     rec = F.datediff("report_date", "last")
@@ -217,8 +240,8 @@ def b10_top_tier(t, p):
 
 
 def b11_new_customers(t, p):
-    return t.customers.agg(
-        F.count_if(F.col("signup_date") >= F.trunc(lit_date(p.brief_as_of), "MM")).alias("new_customers"))
+    new = t.customers.filter(F.col("signup_date") >= lit_date(p.brief_as_of.replace(day=1)))
+    return new.agg(F.count(F.lit(1)).alias("new_customers"))
 
 
 def b12_country_aov(t, p):
@@ -333,9 +356,8 @@ def b22_hot_products(t, p):
 
 
 def b23_new_launches(t, p):
-    return t.products.agg(
-        F.count_if(F.col("launch_date") >= F.date_sub(lit_date(p.brief_as_of), p.brief_launch_days))
-        .alias("new_launches"))
+    since = p.brief_as_of - dt.timedelta(days=p.brief_launch_days)
+    return t.products.filter(F.col("launch_date") >= lit_date(since)).agg(F.count(F.lit(1)).alias("new_launches"))
 
 
 def b24_promo_roi(t, p):
@@ -376,6 +398,12 @@ def b28_brief_row(t: RetailTables, p: Params) -> DataFrame:
     Each metric is exactly one row; stacking them by name (absent columns are
     NULL) and taking one ``max`` per column folds them into a single row with
     one small aggregate, instead of a chain of one-row cross joins."""
+    _free(t.spark)
+    t = t.replace()  # the shared aggregates below belong to this row alone
+    t.memo("brief_daily", lambda: _kept(_daily_build(t)))
+    t.memo("brief_per_customer", lambda: _kept(_per_customer_build(t)))
+    facts = t.memo("brief_items_per_product", lambda: _kept(_product_facts(t)))
+    t.memo("brief_product_sale_dates", lambda: facts)
     parts = [m(t, p) for m in METRICS]
     cols = [c for part in parts for c in part.columns]
     stacked = parts[0]

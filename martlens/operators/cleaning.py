@@ -149,22 +149,37 @@ AUDIT_TOTALS = ("orders_total_mismatch", "UPDATE orders SET final_total = sub.ca
                 "Auto-calculated and fixed {n} missing/incorrect order totals.")
 
 
-def heal_audit_log(t: RetailTables, p: Params, fix_date: dt.datetime | None = None) -> DataFrame:
-    """One audit row per heal that changed at least one row."""
-    ts = fix_date or dt.datetime.combine(p.dq_as_of, dt.time())
-    counts = with_scalar(heal_orphan_orders_count(t, p),
-                         heal_order_totals_count(t, p).withColumnRenamed("changed_rows", "n_totals"))
-    rows = []
-    for i, (name, sql, note) in enumerate((AUDIT_ORPHANS, AUDIT_TOTALS)):
-        n = F.col("changed_rows") if i == 0 else F.col("n_totals")
+def audit_rows(counts: DataFrame, ts: dt.datetime, after_id: int = 0) -> DataFrame:
+    """One audit row per heal that changed a row, from one row (n_orphans, n_totals); ids follow ``after_id``."""
+    rows = None
+    for i, (col, (name, sql, note)) in enumerate((("n_orphans", AUDIT_ORPHANS), ("n_totals", AUDIT_TOTALS))):
         pre, post = note.split("{n}")
-        rows.append(counts.select(F.lit(i).alias("seq"), F.lit(name).alias("check_name"), n.alias("n"),
-                                  F.lit(sql).alias("sql_executed"),
-                                  F.concat(F.lit(pre), n.cast("string"), F.lit(post)).alias("notes")))
-    a = rows[0].unionByName(rows[1]).filter(F.col("n") > 0)
-    return a.select(F.row_number().over(Window.orderBy("seq")).cast("bigint").alias("audit_id"),
-                    "check_name", lit_ts(ts).alias("fix_date"),
-                    F.lit(AUTO).alias("fixed_by"), "sql_executed", "notes")
+        part = counts.select(F.lit(i).alias("seq"), F.lit(name).alias("check_name"), F.col(col).alias("n"),
+                             F.lit(sql).alias("sql_executed"),
+                             F.concat(F.lit(pre), F.col(col).cast("string"), F.lit(post)).alias("notes"))
+        rows = part if rows is None else rows.unionByName(part)
+    place = F.row_number().over(Window.orderBy("seq")).cast("bigint")  # over two rows at most
+    return rows.filter(F.col("n") > 0).select(
+        (F.lit(after_id).cast("bigint") + place).alias("audit_id"), "check_name", lit_ts(ts).alias("fix_date"),
+        F.lit(AUTO).alias("fixed_by"), "sql_executed", "notes")
+
+
+def flagged_heal(t: RetailTables, p: Params) -> DataFrame:
+    """Healed orders and, in two more columns, which heal changed the row."""
+    o = _totals_to_heal(t)
+    healed = {"customer_id": F.coalesce("customer_id", F.lit(p.ghost_customer_id).cast("bigint")),
+              "final_total": F.when(F.col("_change"), F.col("_calc")).otherwise(F.col("final_total")).cast("decimal(18,2)")}
+    return o.select(*[healed.get(c, F.col(c)).alias(c) for c in t.orders.columns],
+                    F.col("customer_id").isNull().alias("_was_orphan"), F.col("_change").alias("_was_wrong"))
+
+
+def heal_counts(flagged: DataFrame) -> DataFrame:
+    return flagged.agg(F.count_if("_was_orphan").alias("n_orphans"), F.count_if("_was_wrong").alias("n_totals"))
+
+
+def heal_audit_log(t: RetailTables, p: Params, fix_date: dt.datetime | None = None) -> DataFrame:
+    """One audit row per heal that changed at least one row; one pass over orders counts both."""
+    return audit_rows(heal_counts(flagged_heal(t, p)), fix_date or dt.datetime.combine(p.dq_as_of, dt.time()))
 
 
 def heal_manual_audit(spark, check_name: str, fixed_by: str, sql_executed: str, notes: str,
@@ -185,14 +200,6 @@ def heal(t: RetailTables, p: Params) -> tuple[RetailTables, DataFrame]:
     return t1.replace(orders=orders2), audit
 
 
-def healed_orders(t: RetailTables, p: Params) -> DataFrame:
-    return heal(t, p)[0].orders
-
-
-def healed_customers(t: RetailTables, p: Params) -> DataFrame:
-    return heal(t, p)[0].customers
-
-
 OPS = {
     "fix_null_invalid_customer": fix_null_invalid_customer,
     "fix_null_invalid_customer_count": fix_null_invalid_customer_count,
@@ -212,15 +219,11 @@ OPS = {
 
 
 # --------------------------------------------------------------------------- change counts
-def _changed(before: DataFrame, after: DataFrame, key: str, col: str) -> DataFrame:
-    """Rows whose ``col`` differs (NULL-safe) between two versions keyed by ``key``."""
-    a = after.select(key, F.col(col).alias("_new"))
-    j = before.select(key, F.col(col).alias("_old")).join(a, key)
-    return _count(j, ~F.col("_old").eqNullSafe(F.col("_new")))
-
-
 def fix_verified_flag_count(t, p):
-    return _changed(t.customer_reviews, fix_verified_flag(t, p), "review_id", "is_verified_purchase")
+    old = F.col("is_verified_purchase").alias("_old")
+    r = t.customer_reviews
+    fixed = fix_verified_flag(t.replace(customer_reviews=r.select("*", old)), p)
+    return _count(fixed, ~F.col("_old").eqNullSafe(F.col("is_verified_purchase")))
 
 
 def fix_default_subcategory_count(t, p):
@@ -228,7 +231,9 @@ def fix_default_subcategory_count(t, p):
 
 
 def fix_fill_total_amount_count(t, p):
-    return _changed(t.orders, fix_fill_total_amount(t, p), "order_id", "total_amount")
+    o = t.orders
+    fixed = fix_fill_total_amount(t.replace(orders=o.select("*", F.col("total_amount").alias("_old"))), p)
+    return _count(fixed, ~F.col("_old").eqNullSafe(F.col("total_amount")))
 
 
 def fix_final_total_count(t, p):

@@ -1,54 +1,133 @@
 """The nightly data-quality job with its side effects.
 
-heal -> write the healed tables as a new snapshot -> checks on that snapshot ->
-wipe-and-replace the current issues -> append issue history, notifications and
-audit rows -> publish the snapshot id last.  Every output goes under ``root``,
-a shared folder (by default below ``spark.checkpoint.dir``).  A failed run
-leaves the previously published snapshot in place; re-running is safe because
-the snapshot folder is new per run and ``current`` is written last.
+Below ``root``, a shared folder, a run writes one folder of its own: healed customers and orders, the
+current issues (ids from 1), the same issues under ids of the history, notifications and audit rows. The
+tables that no heal touches are read where they are and never copied. The run's manifest is written last
+and publishes all of it at once: readers look at published runs only, so a run that dies in between has
+no effect, and running it again with the same run id overwrites its folder. A run id that is already
+published does nothing.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlens.operators.cleaning import heal
-from martlens.operators.quality import notifications, run_checks
+from martlens import schemas
+from martlens.operators.cleaning import audit_rows, flagged_heal, heal_counts, heal_ghost_customer
+from martlens.operators.quality import dq_run_all, notifications
+from martlens.operators.quality_fused import run_all_fused
 from martlens.params import Params
 from martlens.plans.tables import RetailTables
+from martlens.session import work_dir
 from martlens.sources import lake
 
+MANIFEST = "run_id string, run_at timestamp_ntz, last_issue_id bigint, last_audit_id bigint"
+HEALED = ("customers", "orders")
+
+
+def run_folder(root: str, run_id: str) -> str:
+    return f"{root}/runs/{run_id}"
+
+
+def published(spark: SparkSession, root: str) -> list:
+    """Manifests of the published runs, oldest first: a row a night, so the driver reads them."""
+    if not lake.exists(spark, f"{root}/manifests"):
+        return []
+    return sorted(spark.read.schema(MANIFEST).json(f"{root}/manifests/*").collect(), key=lambda r: (r.run_at, r.run_id))
+
 
 def run_data_quality_job(spark: SparkSession, t: RetailTables, p: Params, root: str,
-                         run_at: dt.datetime | None = None) -> str:
+                         run_at: dt.datetime | None = None, run_id: str | None = None) -> str:
     run_at = run_at or dt.datetime.combine(p.dq_as_of, dt.time())
-    run_id = run_at.strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
-    snap = f"{root}/snapshots/{run_id}"
-
-    healed, audit = heal(t, p)
-    # the healed tables become the new snapshot; reading them back cuts the
-    # lineage so the checks do not recompute the heal joins
-    lake.write_lake(healed, snap, names=["customers", "orders"])
-    for name in ("products", "order_items", "inventory", "customer_reviews", "promotions", "promotion_usage"):
-        lake.write_lake(t, snap, names=[name])
-    checked = RetailTables.from_lake(spark, snap)
-    issues = run_checks(checked, p, detected_at=run_at)
-
-    lake.wipe_replace(issues, f"{root}/dq_issues", id_col="id", order_cols=["id"])
-    current = spark.read.parquet(f"{root}/dq_issues")
-    lake.append(current.withColumn("run_id", F.lit(run_id)), f"{root}/dq_issues_history")
-    lake.append(notifications(current).withColumn("run_id", F.lit(run_id)), f"{root}/dq_notifications")
-    lake.append(audit.withColumn("run_id", F.lit(run_id)), f"{root}/data_fix_audit")
-    spark.createDataFrame([(run_id, snap, run_at)], "run_id string, snapshot string, run_at timestamp_ntz") \
-        .coalesce(1).write.mode("overwrite").json(f"{root}/current")
+    run_id = run_id or run_at.strftime("%Y%m%dT%H%M%S")
+    if lake.exists(spark, f"{root}/manifests/{run_id}/_SUCCESS"):
+        return run_id
+    earlier = published(spark, root)
+    issue_id, audit_id = (earlier[-1].last_issue_id, earlier[-1].last_audit_id) if earlier else (0, 0)
+    folder = run_folder(root, run_id)
+
+    def write(df: DataFrame, name: str) -> DataFrame:
+        df.write.mode("overwrite").parquet(lake.table_path(folder, name))
+        return spark.read.schema(df.schema).parquet(lake.table_path(folder, name))
+
+    lake.write_lake(t.replace(customers=heal_ghost_customer(t, p)), folder, names=["customers"])
+    # one heal pass: the flags that count the changes lie beside the healed columns, and readers skip them
+    flagged = write(flagged_heal(t, p).sortWithinPartitions(*lake.SORT_WITHIN["orders"]), "orders")
+    audit = write(audit_rows(heal_counts(flagged), run_at, audit_id), "data_fix_audit")
+    checked = t.replace(**{n: lake.read_table(spark, folder, n) for n in HEALED})
+    issues = write(run_all_fused(checked, p, detected_at=run_at), "dq_issues")
+    write(issues.withColumn("id", F.col("id") + F.lit(issue_id)), "dq_issues_history")
+    write(notifications(issues), "dq_notifications")
+    last = (run_id, run_at, issue_id + issues.count(), audit_id + audit.count())
+    spark.createDataFrame([last], MANIFEST).coalesce(1).write.mode("overwrite").json(f"{root}/manifests/{run_id}")
     return run_id
 
 
-def current_snapshot(spark: SparkSession, root: str) -> RetailTables:
-    snap = spark.read.schema("run_id string, snapshot string, run_at timestamp_ntz").json(f"{root}/current") \
-        .collect()[0].snapshot
-    return RetailTables.from_lake(spark, snap)
+def _history(spark: SparkSession, root: str, name: str, runs: list) -> DataFrame:
+    table = "dq_issues" if name == "dq_issues_history" else name
+    return spark.read.schema(schemas.TABLES[table]).parquet(*[lake.table_path(run_folder(root, r.run_id), name) for r in runs])
+
+
+def current_snapshot(spark: SparkSession, root: str, base: RetailTables) -> RetailTables:
+    """``base`` with the customers and orders of the last published run, and the issues and audit rows of
+    all published runs, which the alerts read; ``base`` itself before the first run."""
+    runs = published(spark, root)
+    if not runs:
+        return base
+    return base.replace(**{n: lake.read_table(spark, run_folder(root, runs[-1].run_id), n) for n in HEALED},
+                        dq_issues=_history(spark, root, "dq_issues_history", runs),
+                        data_fix_audit=_history(spark, root, "data_fix_audit", runs))
+
+
+def run_records(spark: SparkSession, root: str, run_id: str) -> DataFrame:
+    """What one run wrote besides the healed tables: issues, audit rows and notifications as text rows."""
+    read = lambda n: spark.read.parquet(lake.table_path(run_folder(root, run_id), n))
+    parts = [read("dq_issues").select(F.lit("issue").alias("record"), "id",
+                                      F.concat_ws("|", "check_name", "severity", "row_count", "sample_ids", "details").alias("content")),
+             read("data_fix_audit").select(F.lit("audit"), "audit_id", F.concat_ws("|", "check_name", "fixed_by", "sql_executed", "notes")),
+             read("dq_notifications").select(F.lit("notification"), F.lit(None).cast("bigint"), F.concat_ws("|", "channel", "payload"))]
+    return functools.reduce(DataFrame.union, parts)
+
+
+def _new_folder(t: RetailTables, name: str) -> str:
+    return work_dir(t.spark, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def fn_run_checks(t: RetailTables, p: Params) -> DataFrame:
+    """The procedure with its side effects: runs the job in a folder of its own, returns what it wrote."""
+    root = _new_folder(t, "dq-run")
+    return run_records(t.spark, root, run_data_quality_job(t.spark, t, p, root))
+
+
+# --------------------------------------------------------------------------- sinks: write, then read back
+def snk_snapshot(t: RetailTables, p: Params) -> DataFrame:
+    path = _new_folder(t, "snapshot")
+    lake.snapshot(t.customers, path)
+    return t.spark.read.schema(t.customers.schema).parquet(path)
+
+
+def snk_append(t: RetailTables, p: Params) -> DataFrame:
+    """The issue history in two appends, by severity."""
+    path = _new_folder(t, "append")
+    urgent = F.lower("severity").isin("high", "critical")
+    for part in (t.dq_issues.filter(urgent), t.dq_issues.filter(~urgent | F.col("severity").isNull())):
+        lake.append(part, path)
+    return t.spark.read.schema(t.dq_issues.schema).parquet(path)
+
+
+def snk_wipe_replace(t: RetailTables, p: Params) -> DataFrame:
+    """The issues of a run take the place of the history, with ids from 1."""
+    path = _new_folder(t, "wipe-replace")
+    issues = dq_run_all(t, p)
+    lake.wipe_replace(t.dq_issues, path, order_cols=["id"])
+    lake.wipe_replace(issues, path, order_cols=["id"])
+    return t.spark.read.schema(issues.schema).parquet(path)
+
+
+OPS = {"fn_run_checks": fn_run_checks, "snk_snapshot": snk_snapshot, "snk_append": snk_append,
+       "snk_wipe_replace": snk_wipe_replace}

@@ -21,7 +21,7 @@ r_order_items AS (
  cast(case when order_item_id%977=0 then 0 else qty end as int) as quantity, cast(floor(ext/qty) as int) as unit_price,
  cast(case when order_item_id%41=0 then null when order_item_id%991=0 then 130 else round(disc*100) end as int) as discount_percent
  from (select l_orderkey as order_id, l_partkey as pk, l_quantity as qty, l_extendedprice as ext, l_discount as disc,
-  l_orderkey*1000+row_number() over (partition by l_orderkey order by l_linenumber,l_partkey,l_suppkey,l_quantity,l_extendedprice,l_discount,l_tax,l_shipdate) as order_item_id from lineitem) x
+  row_number() over (order by l_orderkey,l_linenumber,l_partkey,l_suppkey,l_quantity,l_extendedprice,l_discount,l_tax,l_shipdate) as order_item_id from lineitem) x
 ),
 r_orders AS (
  select o_orderkey as order_id,

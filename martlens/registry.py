@@ -30,7 +30,7 @@ def _extra_modules():
     for name in ("martlens.operators.views_ops", "martlens.operators.profiling",
                  "martlens.operators.cleaning", "martlens.operators.rules",
                  "martlens.operators.quality", "martlens.operators.brief",
-                 "martlens.operators.alerts", "martlens.streaming.dq_monitor"):
+                 "martlens.operators.alerts", "martlens.operators.dq_job", "martlens.streaming.dq_monitor"):
         try:
             mod = importlib.import_module(name)
         except ModuleNotFoundError as e:
@@ -42,14 +42,9 @@ def _extra_modules():
     return mods
 
 
-_TABLE_CACHE: dict[tuple, RetailTables] = {}
-
-
 def tables_for(spark: SparkSession, sf_dir: str) -> RetailTables:
-    key = (spark.sparkContext.applicationId, sf_dir)  # an id of the object may be used again
-    if key not in _TABLE_CACHE:
-        _TABLE_CACHE[key] = RetailTables.from_fixture(spark, sf_dir)
-    return _TABLE_CACHE[key]
+    """Tables over the files as they are now: nothing is kept from an earlier call."""
+    return RetailTables.from_fixture(spark, sf_dir)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

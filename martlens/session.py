@@ -24,12 +24,16 @@ BASE_CONF = {
 
 def get_session(app: str = "martlens", master: str | None = None,
                 shuffle_partitions: int | None = None,
-                extra: dict | None = None) -> SparkSession:
+                extra: dict | None = None, input_bytes: int | None = None,
+                total_cores: int = 1) -> SparkSession:
+    """A session with the settings above; ``input_bytes`` and ``total_cores`` size it for a cluster run."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     for k, v in BASE_CONF.items():
         builder = builder.config(k, v)
+    for k, v in (cluster_conf(input_bytes, total_cores) if input_bytes else {}).items():
+        builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
@@ -66,8 +70,7 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return base.rstrip("/") + "/" + name
 
 
-def cluster_conf(input_bytes: int, total_cores: int, target_partition_mb: int = 256,
-                 max_shuffle_partitions: int = 100_000) -> dict:
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_mb: int = 256) -> dict:
     """Sizing for a cluster run over ``input_bytes`` of parquet on ``total_cores``.
 
     Scan splits and post-shuffle partitions aim at ``target_partition_mb`` so a
@@ -76,7 +79,7 @@ def cluster_conf(input_bytes: int, total_cores: int, target_partition_mb: int =
     a skewed join partition over several tasks.
     """
     target = target_partition_mb << 20
-    parts = max(total_cores * 2, min(max_shuffle_partitions, input_bytes // target + 1))
+    parts = max(total_cores * 2, input_bytes // target + 1)
     return {
         "spark.sql.files.maxPartitionBytes": f"{target_partition_mb}m",
         "spark.sql.shuffle.partitions": str(parts),
@@ -88,8 +91,7 @@ def cluster_conf(input_bytes: int, total_cores: int, target_partition_mb: int =
     }
 
 
-def bucket_count(table_bytes: int, bucket_mb: int = 1024, minimum: int = 8, maximum: int = 65536) -> int:
-    """Buckets for a bucketed fact table: about ``bucket_mb`` per bucket, a power
-    of two, capped so the file count of one write stays manageable."""
+def bucket_count(table_bytes: int, bucket_mb: int = 1024, minimum: int = 8) -> int:
+    """Buckets for a bucketed fact table: about ``bucket_mb`` per bucket, a power of two."""
     n = max(minimum, table_bytes // (bucket_mb << 20) + 1)
-    return min(maximum, 1 << (int(n) - 1).bit_length())
+    return 1 << (int(n) - 1).bit_length()

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlens.functions.exprs import lit_date
-from martlens.functions.windows import row_number_within
+from martlens.functions.windows import number_rows
 from martlens.sources.tpch import read_raw
 
 EPOCH = dt.date(1995, 1, 1)
@@ -71,16 +71,14 @@ class FixtureBuilder:
 
     # ------------------------------------------------------------------ order items
     def order_items(self) -> DataFrame:
-        order = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+        order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
                  "l_discount", "l_tax", "l_shipdate"]
-        li = self.raw("lineitem").select("l_orderkey", *order)
-        # line number inside an order, bounded per task even for a huge order
-        li = row_number_within(li, "l_orderkey", order, out="line_no")
+        # lines are numbered through all orders, so ids never meet however long an order is
+        li = number_rows(self.raw("lineitem").select(*order), order, out="order_item_id")
         x = li.select(
             F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("pk"),
             F.col("l_quantity").alias("qty"), F.col("l_extendedprice").alias("ext"),
-            F.col("l_discount").alias("disc"),
-            (F.col("l_orderkey") * 1000 + F.col("line_no")).alias("order_item_id"))
+            F.col("l_discount").alias("disc"), "order_item_id")
         oid, pk = F.col("order_item_id"), F.col("pk")
         return x.select(
             oid.cast("bigint").alias("order_item_id"),

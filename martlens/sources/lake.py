@@ -6,10 +6,11 @@ pointer); nothing here relies on machine-local temporary storage.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlens import schemas
+from martlens.functions.windows import number_rows
 
 
 def table_path(root: str, name: str) -> str:
@@ -20,6 +21,17 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.schema(schemas.TABLES[name]).parquet(table_path(root, name))
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder that the caller has written itself."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def conform(df: DataFrame, name: str) -> DataFrame:
     """Project and cast ``df`` to the declared schema of table ``name``."""
     sch = schemas.TABLES[name]
@@ -27,21 +39,16 @@ def conform(df: DataFrame, name: str) -> DataFrame:
                        for f in sch.fields])
 
 
-# Partition / clustering layout for the big tables: orders by month of
-# order_date (date-range questions prune files), order items clustered by
-# order_id so the per-order aggregates read sorted runs.
-LAYOUT = {
-    "orders": dict(partition_by=None, sort_within=["order_date", "order_id"]),
-    "order_items": dict(partition_by=None, sort_within=["order_id"]),
-}
+# Rows of the big tables are sorted inside each file: the date range of a row group
+# lets date questions skip it, and per-order aggregates read sorted runs.
+SORT_WITHIN = {"orders": ["order_date", "order_id"], "order_items": ["order_id"]}
 
 
 def write_lake(tables, root: str, names=None, mode: str = "overwrite") -> None:
     for name in names or schemas.TABLES:
         df = conform(tables[name], name)
-        lay = LAYOUT.get(name, {})
-        if lay.get("sort_within"):
-            df = df.sortWithinPartitions(*lay["sort_within"])
+        if name in SORT_WITHIN:
+            df = df.sortWithinPartitions(*SORT_WITHIN[name])
         df.write.mode(mode).parquet(table_path(root, name))
 
 
@@ -58,9 +65,9 @@ def append(df: DataFrame, path: str) -> None:
 def wipe_replace(df: DataFrame, path: str, id_col: str = "id", order_cols=None) -> None:
     """TRUNCATE ... RESTART IDENTITY then refill: ids renumbered from 1."""
     order_cols = order_cols or [c for c in df.columns if c != id_col]
-    # ids over the (small, one row per check) issues table, in the given order
-    w = Window.orderBy(*order_cols)
-    out = df.withColumn("_new_id", F.row_number().over(w).cast("bigint"))
+    # numbered over all tasks, so that any table may be replaced
+    cols = list(dict.fromkeys([*order_cols, *df.columns]))
+    out = number_rows(df.select(cols), cols, out="_new_id")
     out.select(F.col("_new_id").alias(id_col), *[c for c in df.columns if c != id_col]) \
         .write.mode("overwrite").parquet(path)
 

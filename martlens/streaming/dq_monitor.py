@@ -11,6 +11,7 @@ sink stays exactly-once without a transactional table format.
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,10 +22,19 @@ from martlens.functions.exprs import lit_ts
 from martlens.operators.quality import BY_LETTER, notifications, summarize
 from martlens.params import Params
 from martlens.plans.tables import RetailTables
+from martlens.session import work_dir
+from martlens.sources import lake
 
 # Which row-level checks apply to which table.
 ROW_RULES = {"orders": ("h", "k"), "order_items": ("m", "p"), "products": ("e",), "promotions": ("f",),
              "customer_reviews": ("l",), "customers": ("r",)}
+# The columns that these checks read; a stream's files may hold no others.
+RULE_COLUMNS = {"orders": ("order_id", "customer_id", "order_date", "final_total"),
+                "order_items": ("order_item_id", "quantity", "unit_price", "discount_percent"),
+                "products": ("product_id", "selling_price", "unit_cost"),
+                "promotions": ("promotion_id", "times_used", "max_uses"),
+                "customer_reviews": ("review_id", "rating", "review_date"), "customers": ("customer_id", "email")}
+ISSUES = "check_name string, severity string, row_count bigint, sample_ids string, details string, batch_id bigint"
 
 
 def batch_issues(spark: SparkSession, table: str, batch: DataFrame, p: Params, batch_id: int,
@@ -44,36 +54,51 @@ def start_dq_monitor(spark: SparkSession, table: str, source_path: str, sink_roo
     stream = reader.parquet(source_path)
     detected_at = dt.datetime.combine(p.dq_as_of, dt.time())
 
+    # an empty write leaves the folder, so that a stream that finds nothing can be read
+    spark.createDataFrame([], ISSUES).write.mode("append").partitionBy("batch_id").parquet(f"{sink_root}/issues")
+
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        issues = batch_issues(spark, table, batch, p, batch_id, detected_at)
+        issues = batch_issues(spark, table, batch, p, batch_id, detected_at).persist()  # few rows, two sinks
         (issues.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(f"{sink_root}/issues"))
         (notifications(issues).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(f"{sink_root}/notifications"))
+        issues.unpersist()
 
     w = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
 
 
+def monitor_issues(spark: SparkSession, sink_root: str) -> DataFrame:
+    """The issues of every batch, with samples and details; the schema is stated for a run that found nothing."""
+    return spark.read.schema(ISSUES).parquet(f"{sink_root}/issues")
+
+
 def monitor_totals(spark: SparkSession, sink_root: str) -> DataFrame:
     """Issue counts summed over all processed batches."""
-    # the schema is stated: a run that found nothing has left no file to infer it from
-    return (spark.read.schema("check_name string, severity string, row_count bigint, batch_id bigint").parquet(f"{sink_root}/issues")
-            .groupBy("check_name", "severity").agg(F.sum("row_count").cast("bigint").alias("row_count")))
+    return (monitor_issues(spark, sink_root).groupBy("check_name", "severity", "details")
+            .agg(F.sum("row_count").cast("bigint").alias("row_count"))
+            .select("check_name", "severity", "row_count", "details"))
 
 
 def stream_dq_monitor(t: RetailTables, p: Params) -> DataFrame:
-    """Run the monitor over the orders table (written once to the shared work
-    folder as the append-only source) and return the summed issue counts."""
-    from martlens.session import work_dir
+    """Run a monitor over each of the six tables that have row rules and return the summed issue counts.
+
+    A stream reads files: the columns that the rules need are written as its source and removed again
+    when the stream has read them; the sinks stay."""
     spark = t.spark
     root = work_dir(spark, f"stream-dq-{uuid.uuid4().hex[:12]}")
-    t.orders.write.mode("overwrite").parquet(f"{root}/source")
-    q = start_dq_monitor(spark, "orders", f"{root}/source", f"{root}/sink", f"{root}/checkpoint", p)
-    q.awaitTermination()
-    return monitor_totals(spark, f"{root}/sink")
+    streams = []
+    for table, cols in RULE_COLUMNS.items():
+        t[table].select(*cols).write.parquet(f"{root}/source/{table}")
+        streams.append(start_dq_monitor(spark, table, f"{root}/source/{table}", f"{root}/sink/{table}",
+                                        f"{root}/checkpoint/{table}", p))
+    for q in streams:
+        q.awaitTermination()
+    lake.remove(spark, f"{root}/source")
+    return functools.reduce(DataFrame.unionByName, [monitor_totals(spark, f"{root}/sink/{table}") for table in RULE_COLUMNS])
 
 
 OPS = {"stream_dq_monitor": stream_dq_monitor}

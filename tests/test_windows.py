@@ -1,18 +1,30 @@
-"""row_number_within: the hot-key path numbers exactly like a plain window."""
+"""number_rows numbers like one global window, with no key's rows in one task."""
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from martlens.functions.windows import row_number_within
+from martlens.functions.windows import number_rows
 
 
-def test_hot_key_numbering_matches_plain_window(spark):
-    rows = [(1, i % 7, i) for i in range(500)] + [(k, j, j) for k in range(2, 40) for j in range(3)]
-    rows += [(1, 3, 17), (1, 3, 17)]  # exact duplicates inside the hot key
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_numbers_match_a_global_window_with_a_hot_key(spark, partitions):
+    rows = [(1, i % 7, i) for i in range(1500)] + [(k, j, j) for k in range(2, 40) for j in range(3)]
+    rows += [(1, 3, 17), (1, 3, 17), (None, 1, 1), (None, None, 2)]  # repeated rows and null keys
     df = spark.createDataFrame(rows, "k long, a int, b int")
-    got = row_number_within(df, "k", ["a", "b"], out="rn", hot_rows=50, hot_partitions=7)
-    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("a", "b")))
-    key = lambda r: (r.k, r.a, r.b, r.rn)
-    assert sorted(map(key, got.collect())) == sorted(map(key, want.collect()))
-    # the hot key really went through several range partitions
-    assert got.filter("k = 1").count() == 502
+    got = number_rows(df, ["k", "a", "b"], partitions=partitions)
+    want = df.withColumn("rn", F.row_number().over(Window.orderBy("k", "a", "b")).cast("long"))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    assert dict(got.dtypes)["rn"] == "bigint"
+
+
+def test_both_uses_read_one_exchange(spark):
+    df = spark.range(100).select(F.col("id").alias("k"), (F.col("id") % 3).alias("a"))
+    got = number_rows(df, ["k", "a"], partitions=5).agg(F.max("rn"))
+    got.collect()
+    assert "ReusedExchange" in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_all_columns_are_needed(spark):
+    with pytest.raises(AssertionError):
+        number_rows(spark.range(3).withColumn("x", F.lit(1)), ["id"])
