@@ -36,9 +36,9 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """All documents; passages of at least PASSAGE_WORDS words that a smaller id holds are cut. The
     text of a document that loses nothing stays as it is; one that loses all words is empty."""
     cleaned = substring.deduplicate(docs, window=PASSAGE_WORDS)
-    changed = materialize(cleaned.where("n_removed > 0").select("doc_id", "n_words", "kept_text").dropDuplicates(["doc_id", "n_words"]), "changed")
-    own = docs.select(COLUMNS).withColumn("n_words", n_words("text"))
-    joined = own.join(changed, ["doc_id", "n_words"], "left")
+    changed = materialize(cleaned.where("n_removed > 0").select("doc_id", "text_hash", "kept_text").dropDuplicates(["doc_id", "text_hash"]), "changed")
+    own = docs.select(COLUMNS).withColumn("text_hash", F.xxhash64("text"))
+    joined = own.join(changed, ["doc_id", "text_hash"], "left")
     return joined.select("doc_id", F.coalesce("kept_text", "text").alias("text"), "lang", "source",
                          F.when(F.col("kept_text").isNotNull(), F.length("kept_text").cast("long")).otherwise(F.col("n_chars")).alias("n_chars"))
 

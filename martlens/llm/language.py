@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martlens.llm.common import ready
+from martlens.llm.common import columns, ready
 
 ORDERS = (1, 2, 3)
 BUCKETS = 1 << 15
@@ -116,10 +116,12 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], te
 
     The whole text is scored, in slices, so memory does not grow with its length. A null text, a
     text without letters or an empty model gives ``und`` with score 0; ties go to the language
-    with more training documents. All columns of ``docs`` are kept.
+    with more training documents. Columns of ``docs`` are kept, those named lang_pred or score are
+    replaced.
     """
     spark = docs.sparkSession
     ready(spark)
+    docs = docs.drop("lang_pred", "score")
     langs, matrix, prior = model
     shared = spark.sparkContext.broadcast((langs, np.ascontiguousarray(matrix, dtype=np.float32), prior))
 
@@ -143,7 +145,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], te
         return pd.DataFrame({"lang_pred": names, "score": scores})
 
     return docs.withColumn("llm_scored", scored(F.col(text))).select(
-        *[F.col(c) for c in docs.columns], "llm_scored.lang_pred", "llm_scored.score")
+        *columns(docs), "llm_scored.lang_pred", "llm_scored.score")
 
 
 def held_out(id_col: Column) -> Column:

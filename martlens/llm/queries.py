@@ -74,7 +74,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring.deduplicate(table(spark, sf_dir, "documents")).drop("kept_text")
+    return substring.deduplicate(table(spark, sf_dir, "documents")).drop("kept_text", "text_hash")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

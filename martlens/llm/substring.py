@@ -60,7 +60,7 @@ def _text_key(text: bytes) -> int:
 
 
 def _rows(batches, window: int):
-    """Per document: key of its text, words, digest of its words."""
+    """Per document: hash and key of its text, words, digest of its words."""
     for batch in batches:
         keys, n, digests = [], [], []
         for text in utf8(batch.column("text")):
@@ -69,8 +69,8 @@ def _rows(batches, window: int):
             n.append(len(words))
             digests.append(hashlib.sha256(b" ".join(words)).hexdigest())
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(keys, pa.int64()), pa.array(n, pa.int64()), pa.array(digests)],
-            names=["doc_id", "text_key", "n_words", "sha256"])
+            [batch.column("doc_id"), batch.column("text_hash"), pa.array(keys, pa.int64()), pa.array(n, pa.int64()), pa.array(digests)],
+            names=["doc_id", "text_hash", "text_key", "n_words", "sha256"])
 
 
 _GATHERED = pa.schema([("bucket", pa.int32()), ("anchor", pa.list_(pa.int64())), ("text_key", pa.list_(pa.int64())),
@@ -248,7 +248,7 @@ def _searched(batches, window: int):
 def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text: str = "text", window: int = WINDOW) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(documents, texts, starts).
 
-    documents: doc_id, text_key (null under ``window`` words), n_words, sha256 of the words,
+    documents: doc_id, text_hash, text_key (null under ``window`` words), n_words, sha256 of the words,
     first_doc (the smallest id with the same text). texts: doc_id and text of the documents that may
     share a window with another text. starts: doc_id and places of the windows that also start in a
     document with a smaller id, for the first document of each text; the others repeat it whole.
@@ -262,7 +262,8 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
     ready(spark, 256)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
     # a row without id is neither earlier nor later than another
-    listed = materialize(rows.mapInArrow(lambda b: _rows(b, window), "doc_id long, text_key long, n_words long, sha256 string"), "rows")
+    listed = materialize(rows.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
+        lambda b: _rows(b, window), "doc_id long, text_hash long, text_key long, n_words long, sha256 string"), "rows")
     firsts = (listed.where("text_key is not null and doc_id is not null").groupBy("text_key")
               .agg(F.min("doc_id").alias("first_doc")))
     documents = listed.join(firsts, "text_key", "left")
@@ -330,14 +331,15 @@ def _cleaned(batches, window: int):
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
-    """One row per document: id, n_words, n_removed, kept_text, kept_sha256.
+    """One row per document: id, n_words, n_removed, kept_text, kept_sha256, text_hash.
 
     Words covered by a window of ``window`` words that also starts in a document with a smaller id
     are removed; windows are judged on the input. kept_text joins the kept words by blanks and is
     null where nothing was removed (the text stays as it is). A document whose whole text a smaller
     id holds loses all words, if it has a window at all. Null and empty texts have no words. A row
     without id keeps its words and counts as no earlier document. Repeated rows of one id and text
-    are equal; two texts under one id are cleaned each by its own windows. No rows give no rows.
+    are equal; two texts under one id are cleaned each by its own windows, and text_hash (xxhash64
+    of the text) tells them apart. No rows give no rows.
     """
     documents, texts, starts = repeated_windows(docs, id_col, text, window)
     cleaned = texts.join(starts, ["doc_id", "text_key"]).mapInArrow(
@@ -348,4 +350,5 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text: str = "text", win
             .select(F.col("doc_id").cast(kind).alias(id_col), "n_words",
                     F.when(copy, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
                     F.when(copy, F.lit("")).otherwise(F.col("kept_text")).alias("kept_text"),
-                    F.when(copy, F.sha2(F.lit(b""), 256)).otherwise(F.coalesce("kept_sha256", "sha256")).alias("kept_sha256")))
+                    F.when(copy, F.sha2(F.lit(b""), 256)).otherwise(F.coalesce("kept_sha256", "sha256")).alias("kept_sha256"),
+                    "text_hash"))

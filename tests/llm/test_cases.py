@@ -323,6 +323,21 @@ def test_pipeline_stages_survive_odd_rows(spark, documents, sf):
         docs = got if name != "packing" else docs
 
 
+def test_passages_are_cut_from_their_own_text(spark, documents):
+    """Two texts of as many words under one id: only the one that repeats a passage loses it."""
+    passage, own, other = (prose(30, [f"{c}{k}" for k in range(900)]) for c in "abc")
+    docs = documents([(1, passage), (2, f"{passage} {own}"), (2, f"{other} {own}")])
+    got = corpus_pipeline.cut_repeated_passages(spark, docs, "").where("doc_id = 2")
+    assert sorted(r["text"] for r in got.collect()) == sorted([own, f"{other} {own}"])
+
+
+def test_language_replaces_clashing_columns(spark, documents):
+    docs = documents(ODD).withColumn("score", F.lit("old")).withColumn("lang_pred", F.lit(1)).withColumn("a.b", F.lit(2))
+    got = language.predict(docs, language.train(docs))
+    assert got.columns.count("score") == got.columns.count("lang_pred") == 1
+    assert dict(got.dtypes)["score"] == "double" and {r["a.b"] for r in got.collect()} == {2}
+
+
 def test_queries_survive_odd_tables(spark, documents, tmp_path):
     documents(ODD).write.parquet(f"{tmp_path}/documents.parquet")
     vectors(spark, [(0, [1.0, 0.0, 0.5]), (1, [1.0, 0.1, 0.5]), *BAD]).write.parquet(f"{tmp_path}/embeddings.parquet")
