@@ -1,4 +1,5 @@
-"""Approximate nearest neighbours: multiprobe p-stable hashing with exact reranking."""
+"""Approximate nearest neighbours: multiprobe p-stable hashing with exact reranking, and exact search of
+the queries whose probes find too few rows."""
 
 from __future__ import annotations
 
@@ -22,6 +23,8 @@ FIT_ROWS, FIT_QUERIES = 4096, 128
 #: Share of the true neighbours of the fit's queries that the probes must visit.
 RECALL = 0.97
 MAX_PROBES = 4096
+#: A query whose probes visit a smaller share of its own nearest rows in the sample is compared with all rows.
+SEEN = 0.5
 STEPS = np.arange(-2, 3)
 SEED = 977
 _NEAR = pa.schema([("query_id", pa.int64()), ("near", pa.list_(pa.struct([("score", pa.float64()), ("vec_id", pa.int64())])))])
@@ -52,14 +55,14 @@ class Index:
 
     def __init__(self, sample: np.ndarray, rows: int, k: int):
         width = sample.shape[1]
-        self.dim = width
+        self.dim, self.sample = width, sample
         self.m = min(10, max(3, round(math.log2(max(rows, 2) / BUCKET_ROWS) / 1.6)))
         rng = np.random.default_rng([SEED, width])
         self.lines = rng.standard_normal((TABLES, width, self.m))
         spread = np.array([max((sample @ line).std(axis=0).mean(), 1e-300) for line in self.lines])
         self.cell = CELL_WIDTH * spread
         self.shift = rng.uniform(0, 1, (TABLES, self.m))
-        self.probes = self._fit(sample, k)
+        self.probes, self.enough = self._fit(sample, k)
 
     def cells(self, vectors: np.ndarray, table: int) -> tuple[np.ndarray, np.ndarray]:
         """Bucket and position inside it."""
@@ -67,12 +70,25 @@ class Index:
         low = np.floor(np.clip(at, -2.0 ** 31, 2.0 ** 31))
         return low.astype(np.int64), np.clip(at - low, 0.0, 1.0)
 
-    def _fit(self, sample: np.ndarray, k: int) -> int:
-        """Fewest probes per table that visit RECALL of the queries' neighbours in the sample."""
+    def seen(self, queries: np.ndarray, buckets: list[np.ndarray], k: int) -> np.ndarray:
+        """Share of each query's nearest rows in the sample that lie in its ``buckets``, per table
+        [query, probe]; the first is left out, as it may be the query itself."""
+        square = (self.sample ** 2).sum(axis=1) - 2 * queries @ self.sample.T
+        near = np.argsort(square, axis=1)[:, 1:k + 1]
+        hit = np.zeros(near.shape, dtype=bool)
+        for t in range(TABLES):
+            held = _hash(self.cells(self.sample[near.ravel()], t)[0]).reshape(near.shape)
+            for q in range(len(queries)):
+                hit[q] |= np.isin(held[q], buckets[t][q])
+        return hit.mean(axis=1)
+
+    def _fit(self, sample: np.ndarray, k: int) -> tuple[int, bool]:
+        """Fewest probes per table that visit RECALL of the queries' neighbours in the sample, and
+        whether any number of probes within the bounds does."""
         queries = sample[:FIT_QUERIES]
         most = min(MAX_PROBES, len(STEPS) ** self.m)
         if len(sample) < 3:
-            return most
+            return most, False
         square = ((queries[:, None, :] - sample[None, :, :]) ** 2).sum(axis=2) if len(sample) * len(queries) * self.dim < 1 << 22 \
             else (queries ** 2).sum(axis=1)[:, None] + (sample ** 2).sum(axis=1) - 2 * queries @ sample.T
         square[np.arange(len(queries)), np.arange(len(queries))] = np.inf
@@ -87,7 +103,8 @@ class Index:
                 for c, v in enumerate(true[q]):
                     first[q, c] = min(first[q, c], rank.get(tuple((every[v] - own[q]).tolist()), most))
         reached = np.sort(first.ravel())
-        return int(min(most, reached[min(len(reached) - 1, math.ceil(RECALL * len(reached)) - 1)] + 1))
+        last = reached[min(len(reached) - 1, math.ceil(RECALL * len(reached)) - 1)]
+        return int(min(most, last + 1)), bool(last < most)
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id",
@@ -97,12 +114,15 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
     Every row is indexed in each table under its p-stable bucket. A query visits its buckets in
     order of estimated success, as many per table as a bounded sample needs for RECALL. A crowded
     bucket is dealt to blocks that are all visited. Each visit returns its k nearest by exact
-    distance in double precision; these are merged across buckets and tables.
+    distance in double precision; these are merged across buckets and tables. A query that found
+    fewer than k rows, or whose probes would visit less than SEEN of its own nearest rows in the
+    sample, is compared with every row, and so are all queries if no number of probes within the
+    bounds reaches RECALL on the sample.
 
     Vectors that are null, empty, zero or hold null or non-finite components, and rows without id,
     take no part; neither do vectors of another length than the commonest in the sample. A query
     is no candidate of its own id. Ties go to the smaller id; repeated rows of one id count once.
-    No queries or rows give no rows; fewer than k candidates give all of those found.
+    No queries or rows give no rows; fewer than k candidates give all of them.
     """
     spark = vectors.sparkSession
     ready(spark, 4096)
@@ -119,29 +139,61 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
     index = Index(np.array([r["vec"] for r in drawn if len(r["vec"]) == dim]), n, k)
     shared = spark.sparkContext.broadcast(index)
     rows = rows.where(F.size("vec") == dim)
+    asked = rows.where("asks").groupBy("vec_id").agg(F.min("vec").alias("vec"))
+    if not index.enough:
+        return _merge(_exact(rows, n, materialize(asked, "asked"), k, dim), k)
     vec = "vec array<double>"
     stored = rows.select("vec_id", "vec").mapInArrow(
-        lambda batches: _placed(batches, shared.value, 0), f"vec_id long, table int, bucket long, {vec}")
+        lambda batches: _placed(batches, shared.value), f"vec_id long, table int, bucket long, {vec}")
     sizes = materialize(stored.groupBy("table", "bucket")
                         .agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks")), "buckets")
     crowded = materialize(sizes.where("blocks > 1"), "crowded")
     block = F.pmod(F.xxhash64(F.lit(5), "vec_id"), F.coalesce("blocks", F.lit(1))).cast("int")
     stored = (stored.join(crowded, ["table", "bucket"], "left")
               .select("table", "bucket", block.alias("block"), F.lit(1).alias("side"), "vec_id", "vec"))
-    asked = rows.where("asks").groupBy("vec_id").agg(F.min("vec").alias("vec"))
-    visits = (asked.mapInArrow(lambda batches: _placed(batches, shared.value, index.probes),
+    visits = (asked.mapInArrow(lambda batches: _visits(batches, shared.value, k),
                                "vec_id long, table int, bucket long")
               .join(sizes, ["table", "bucket"])
               .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
               .join(asked, "vec_id")
               .select("table", "bucket", "block", F.lit(0).alias("side"), "vec_id", "vec"))
     cell = ["table", "bucket", "block"]
-    met = stored.unionByName(visits).repartition(*cell).sortWithinPartitions(*cell, "side")
-    near = met.mapInArrow(lambda batches: batches_of(_visited(batches, k, dim), _NEAR),
-                          "query_id long, near array<struct<score:double,vec_id:long>>")
-    merged = (near.repartition("query_id").sortWithinPartitions("query_id")
-              .mapInArrow(lambda batches: _merged(batches, k), "query_id long, rank int, vec_id long, score double"))
-    return merged
+    found = materialize(_merge(_met(stored.unionByName(visits), k, dim), k), "found")
+    short = materialize(asked.join(found.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id")), "vec_id", "left_anti"), "short")
+    if short.isEmpty():
+        return found
+    whole = found.join(short.select(F.col("vec_id").alias("query_id")), "query_id", "left_anti")
+    return whole.unionByName(_merge(_exact(rows, n, short, k, dim), k))
+
+
+def _exact(rows: DataFrame, n: int, asked: DataFrame, k: int, dim: int) -> DataFrame:
+    """Every query's k nearest in every block of rows; each cell is a block of queries and one of rows."""
+    def blocks(count: int) -> int:
+        return max(1, math.ceil(count / BLOCK_ROWS))
+
+    def own(count: int) -> Column:
+        return F.pmod(F.xxhash64(F.lit(5), "vec_id", "vec"), F.lit(blocks(count)))
+
+    def every(count: int) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks(count) - 1).cast("long")))
+
+    many = asked.count()
+    stored = rows.select(every(many).alias("table"), own(n).alias("bucket"), F.lit(0).alias("block"), F.lit(1).alias("side"), "vec_id", "vec")
+    visits = asked.select(own(many).alias("table"), every(n).alias("bucket"), F.lit(0).alias("block"), F.lit(0).alias("side"), "vec_id", "vec")
+    return _met(stored.unionByName(visits), k, dim)
+
+
+def _met(rows: DataFrame, k: int, dim: int) -> DataFrame:
+    """Per cell, the k nearest stored rows (side 1) of each query (side 0)."""
+    cell = ["table", "bucket", "block"]
+    return (rows.repartition(*cell).sortWithinPartitions(*cell, "side")
+            .mapInArrow(lambda batches: batches_of(_visited(batches, k, dim), _NEAR),
+                        "query_id long, near array<struct<score:double,vec_id:long>>"))
+
+
+def _merge(near: DataFrame, k: int) -> DataFrame:
+    return (near.repartition("query_id").sortWithinPartitions("query_id")
+            .mapInArrow(lambda batches: _merged(batches, k), "query_id long, rank int, vec_id long, score double"))
 
 
 def _hash(cells: np.ndarray) -> np.ndarray:
@@ -154,26 +206,36 @@ def _hash(cells: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
 
-def _placed(batches, index: Index, probes: int):
-    """Each row's bucket per table with its vector; or, with probes, the buckets that it visits."""
+def _placed(batches, index: Index):
+    """Each row's bucket per table with its vector."""
+    for batch in batches:
+        ids = batch.column("vec_id")
+        flat = list_arrays(batch.column("vec"))[0]
+        vec = pa.ListArray.from_arrays(pa.array(np.arange(len(ids) + 1, dtype=np.int32) * index.dim), pa.array(flat))
+        for t in range(TABLES):
+            low, _ = index.cells(flat.reshape(-1, index.dim), t)
+            yield pa.RecordBatch.from_arrays([ids, pa.array(np.full(len(ids), t, dtype=np.int32)), pa.array(_hash(low)), vec],
+                                             names=["vec_id", "table", "bucket", "vec"])
+
+
+def _visits(batches, index: Index, k: int):
+    """The buckets that each query visits per table; none for a query that they would not serve."""
+    step = max(1, min(256, (1 << 18) // (index.probes * len(STEPS))))
     for batch in batches:
         ids = batch.column("vec_id").to_numpy()
         vectors = list_arrays(batch.column("vec"))[0].reshape(len(ids), index.dim)
-        step = max(1, (1 << 18) // (probes * len(STEPS))) if probes else len(ids)
-        for at in range(0, len(ids), max(step, 1)):
-            own, v = ids[at:at + step], vectors[at:at + step]
+        for at in range(0, len(ids), step):
+            own, v, buckets = ids[at:at + step], vectors[at:at + step], []
             for t in range(TABLES):
                 low, place = index.cells(v, t)
-                columns = {"vec_id": pa.array(own)}
-                if probes:
-                    low = (low[:, None, :] + probe_order(place, probes)).reshape(-1, index.m)
-                    columns["vec_id"] = pa.array(np.repeat(own, len(low) // len(own)))
-                columns["table"] = pa.array(np.full(len(low), t, dtype=np.int32))
-                columns["bucket"] = pa.array(_hash(low))
-                if not probes:
-                    columns["vec"] = pa.ListArray.from_arrays(
-                        pa.array(np.arange(len(own) + 1, dtype=np.int32) * index.dim), pa.array(v.ravel()))
-                yield pa.RecordBatch.from_pydict(columns)
+                low = (low[:, None, :] + probe_order(place, index.probes)).reshape(-1, index.m)
+                buckets.append(_hash(low).reshape(len(own), -1))
+            sure = index.seen(v, buckets, k) >= SEEN
+            for t, found in enumerate(buckets):
+                n = found[sure].size
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(own[sure], found.shape[1])), pa.array(np.full(n, t, dtype=np.int32)), pa.array(found[sure].ravel())],
+                    names=["vec_id", "table", "bucket"])
 
 
 def _nearest(score: np.ndarray, ids: np.ndarray, k: int) -> list[dict]:

@@ -102,6 +102,37 @@ def test_crowded_buckets_are_dealt(spark, monkeypatch):
     assert len(got) == 9 and all(r["vec_id"] != r["query_id"] for r in got)
 
 
+def exact_nearest(x, q, k):
+    d = np.sqrt(((x.astype(np.float64) - x[q].astype(np.float64)) ** 2).sum(axis=1))
+    return [v for _, v in sorted(zip(d.tolist(), range(len(x)))) if v != q][:k]
+
+
+def test_nearest_of_mixed_norms(spark):
+    """Queries far from the bulk find k rows, and the right ones; the fit alone sees only the bulk."""
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(6000, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[::100] *= np.where(np.arange(60) % 2, 1.0, 8.0)[:, None]
+    x = x.astype(np.float32)
+    got = {}
+    for r in ann.nearest(vectors(spark, [(k, v.tolist()) for k, v in enumerate(x)]), F.col("vec_id") % 100 == 0).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    assert sorted(got) == list(range(0, 6000, 100)) and all(len(v) == 10 for v in got.values())
+    far = [q for q in got if q % 200 == 0]
+    assert sum(len(set(got[q]) & set(exact_nearest(x, q, 10))) for q in far) >= 0.95 * 10 * len(far)
+
+
+def test_nearest_is_exact_where_no_probes_reach_the_recall(spark, monkeypatch):
+    monkeypatch.setattr(ann, "MAX_PROBES", 2)
+    monkeypatch.setattr(ann, "BLOCK_ROWS", 70)
+    x = np.random.default_rng(12).normal(size=(600, 12)).astype(np.float32)
+    rows = ann.nearest(vectors(spark, [(k, v.tolist()) for k, v in enumerate(x)]), F.col("vec_id") % 4 == 0).orderBy("query_id", "rank").collect()
+    got = {}
+    for r in rows:
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    assert got == {q: exact_nearest(x, q, 10) for q in range(0, 600, 4)}
+
+
 def mixed(docs, weights, sources=None):
     return mixing.mix(docs, n_words("text"), F.array("source") if sources is None else sources, weights, ["doc_id", "text"])
 
