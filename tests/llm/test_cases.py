@@ -102,6 +102,19 @@ def test_crowded_buckets_are_dealt(spark, monkeypatch):
     assert len(got) == 9 and all(r["vec_id"] != r["query_id"] for r in got)
 
 
+def test_embedding_pairs_at_the_threshold_are_found(spark):
+    """3000 planted pairs with cosine between 0.90 and 0.92 and no other way to meet."""
+    rng = np.random.default_rng(21)
+    a, b = rng.normal(size=(2, 3000, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b -= (a * b).sum(axis=1, keepdims=True) * a
+    b /= np.linalg.norm(b, axis=1, keepdims=True)
+    cosine = rng.uniform(0.9001, 0.92, size=(3000, 1))
+    x = np.concatenate([a, cosine * a + np.sqrt(1 - cosine ** 2) * b])
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embedding_dedup.near_duplicates(vectors(spark, [(k, v.tolist()) for k, v in enumerate(x)])).collect()}
+    assert got == {k: (1, k % 3000) for k in range(6000)}
+
+
 def exact_nearest(x, q, k):
     d = np.sqrt(((x.astype(np.float64) - x[q].astype(np.float64)) ** 2).sum(axis=1))
     return [v for _, v in sorted(zip(d.tolist(), range(len(x)))) if v != q][:k]
