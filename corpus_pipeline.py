@@ -26,10 +26,21 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near-duplicates, and all without id."""
-    groups = ngram_join.similar_groups(docs)
-    others = materialize(groups.where("doc_id is not null and not kept").select("doc_id").distinct(), "others")
-    return docs.select(COLUMNS).join(others, "doc_id", "left_anti").select(COLUMNS)
+    """One row of each group of near-duplicates, of the smallest id; rows without id come after all
+    others. Texts without words are in no group and stay."""
+    # documents without id take part under numbers above all ids, different texts under one number apart
+    stand_in = F.lit(1 << 62) + F.pmod(F.xxhash64("text"), F.lit(1 << 61))
+    own = docs.select(*COLUMNS, F.coalesce(F.col("doc_id").cast("long"), stand_in).alias("own_id"), F.xxhash64("text").alias("text_hash"))
+    key = ["own_id", "text_hash"]
+    texts = materialize(ngram_join.similar_groups(own, "own_id").where("group_id is not null")
+                        .groupBy(*key).agg(F.min("group_id").alias("group_id"), F.count("*").alias("n")), "texts")
+    chosen = texts.groupBy("group_id").agg(F.min(F.struct(*key)).alias("first"), F.count("*").alias("many"))
+    first = chosen.where("many > 1").select("first.*")
+    others = materialize(texts.join(chosen.where("many > 1").select("group_id"), "group_id", "left_semi").select(*key)
+                         .join(first, key, "left_anti"), "others")
+    repeated = materialize(texts.where("n > 1").select(*key).join(others, key, "left_anti"), "repeated")
+    once = own.join(repeated, key, "left_semi").dropDuplicates(key)
+    return own.join(others.unionByName(repeated), key, "left_anti").unionByName(once).select(COLUMNS)
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -86,8 +86,8 @@ def _signed(batches, ngram: int):
             sets.append(xxhash.xxh128_digest(grams.tobytes()) if len(grams) else None)
             signs.append(signature(grams).tobytes() if len(grams) else None)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(sets, pa.binary()), pa.array(signs, pa.binary())],
-            names=["doc_id", "gram_set", "signature"])
+            [batch.column("doc_id"), batch.column("text_hash"), pa.array(sets, pa.binary()), pa.array(signs, pa.binary())],
+            names=["doc_id", "text_hash", "gram_set", "signature"])
 
 
 def _bands(batches):
@@ -193,7 +193,7 @@ def _verified(batches, threshold: float):
 
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", ngram: int = NGRAM,
                    threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
-    """One row per document: id, class_id, n_links, component_id, kept.
+    """One row per document: id, class_id, n_links, component_id, kept, text_hash, group_id.
 
     Two documents are linked if their sets of word n-grams have Jaccard similarity of at least
     ``threshold``. Documents with equal sets are one class (class_id its smallest id), so copies
@@ -206,17 +206,28 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     The expected loss is the pairs that share no band (4e-6 at the threshold, less above it) and
     those pruned wrongly (up to ``tolerance`` a comparison), unless others connect their part.
     Texts that are null or without words link with nothing. A row without id is not kept, has no
-    links and a null component. Repeated rows count as documents. No rows give no rows.
+    links and a null component. Repeated rows count as documents. No rows give no rows. Different
+    texts under one id are documents of their own: text_hash (xxhash64) tells them apart, and
+    group_id their components, which may share the smallest id; it is null without id or words.
     """
     spark = docs.sparkSession
     ready(spark)
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    signed = materialize(rows.mapInArrow(lambda b: _signed(b, ngram), "doc_id long, gram_set binary, signature binary"), "signed")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("text_hash"))
+    signed = materialize(rows.mapInArrow(lambda b: _signed(b, ngram), "doc_id long, text_hash long, gram_set binary, signature binary"), "signed")
     usable = F.col("doc_id").isNotNull() & F.col("gram_set").isNotNull()
     classes = materialize(signed.where(usable).groupBy("gram_set")
-                          .agg(F.min("doc_id").alias("class_id"), F.count("*").alias("copies"),
-                               F.min("signature").alias("signature")), "classes")
+                          .agg(F.min(F.struct("doc_id", "text_hash")).alias("first"), F.count("*").alias("copies"),
+                               F.min("signature").alias("signature"))
+                          .select("gram_set", F.col("first.doc_id").alias("low_id"), F.col("first.text_hash").alias("text_hash"), "copies", "signature"), "named")
+    # a class goes by its smallest id; classes that share one, as two texts under it, go by their sets
+    clashes = materialize(classes.groupBy("low_id").count().where("count > 1").select("low_id", F.lit(True).alias("clash")), "clashes")
+    clashing = not clashes.isEmpty()
+    if clashing:
+        classes = materialize(classes.join(clashes, "low_id", "left")
+                              .withColumn("class_id", F.when(F.col("clash"), F.xxhash64("gram_set")).otherwise(F.col("low_id"))).drop("clash"), "classes")
+    else:
+        classes = classes.withColumn("class_id", F.col("low_id"))
     bands = materialize(classes.select("class_id", "signature").mapInArrow(_bands, "class_id long, band long"), "bands")
     member = F.xxhash64("class_id").cast("decimal(20,0)")
     buckets = (bands.groupBy("band").agg(F.count("*").alias("n"), F.min("class_id").alias("low"), F.sum(member).alias("members"))
@@ -228,20 +239,24 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     likely = materialize(cells.mapInArrow(
         lambda b: batches_of(_pruned(b, threshold, tolerance), _FOUND), "a long, b long, n long").select("a", "b"), "likely")
     parts = connected_components(likely).select(F.col("node").alias("class_id"), F.col("component").alias("part"))
-    parted = parts.join(classes.select("gram_set", F.col("class_id").alias("doc_id"), "copies"), F.col("doc_id") == F.col("class_id")).drop("class_id")
+    parted = parts.join(classes.select("gram_set", "class_id", F.col("low_id").alias("doc_id"), "text_hash", "copies"), "class_id")
     # both sides are dealt by id at any size: the parts grow with the documents
-    sets = materialize(rows.join(materialize(parted, "parts").hint("merge"), "doc_id").mapInArrow(
+    sets = materialize(rows.join(materialize(parted, "parts").hint("merge"), ["doc_id", "text_hash"]).mapInArrow(
         lambda b: _sets(b, ngram), "class_id long, part long, copies long, weight long, grams array<long>"), "sets")
     cells = deal_pairs(sets, ["part"], "class_id", BLOCK_SHINGLES, F.col("weight"))
     found = materialize(cells.mapInArrow(
         lambda b: batches_of(_verified(b, threshold), _FOUND), "a long, b long, n long"), "links")
     links = found.where("b is null").groupBy(F.col("a").alias("class_id")).agg(F.sum("n").alias("outer_links"))
     groups = connected_components(found.where("b is not null")).withColumnRenamed("node", "class_id")
-    labelled = (classes.select("gram_set", "class_id", "copies").join(links, "class_id", "left").join(groups, "class_id", "left"))
-    own = signed.select("doc_id", F.when(usable, F.col("gram_set")).alias("gram_set")).join(labelled, "gram_set", "left")
-    return (own.select(F.col("doc_id").cast(kind).alias(id_col), F.coalesce("class_id", "doc_id").alias("class_id"),
+    labelled = (classes.select("gram_set", "class_id", "low_id", "copies").join(links, "class_id", "left").join(groups, "class_id", "left")
+                .withColumn("group_id", F.coalesce("component", "class_id")))
+    if clashing:  # the smallest name in a component need not be its smallest id
+        lows = labelled.where("component is not null").groupBy("group_id").agg(F.min("low_id").alias("low"))
+        labelled = labelled.join(lows, "group_id", "left").withColumn("component", F.coalesce("low", "low_id"))
+    own = signed.select("doc_id", "text_hash", F.when(usable, F.col("gram_set")).alias("gram_set")).join(labelled, "gram_set", "left")
+    return (own.select(F.col("doc_id").cast(kind).alias(id_col), F.coalesce("low_id", "doc_id").alias("class_id"),
                        F.coalesce(F.col("copies") - 1 + F.coalesce("outer_links", F.lit(0)), F.lit(0)).alias("n_links"),
-                       F.coalesce("component", "class_id", "doc_id").alias("component_id"))
+                       F.coalesce("component", "low_id", "doc_id").alias("component_id"), "text_hash", "group_id")
             .withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(False))))
 
 
@@ -251,19 +266,19 @@ def _sets(batches, ngram: int):
     seen: set[int] = set()
     for batch in batches:
         keep, sets = [], []
-        for row, (own, wanted, text) in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("gram_set").to_pylist(),
+        for row, (own, wanted, text) in enumerate(zip(batch.column("class_id").to_pylist(), batch.column("gram_set").to_pylist(),
                                                       utf8(batch.column("text")))):
             if own in seen:
                 continue
             grams = shingles(text, known, ngram)
-            if xxhash.xxh128_digest(grams.tobytes()) == wanted:  # not another text under the same id
+            if xxhash.xxh128_digest(grams.tobytes()) == wanted:  # not another text of the same id and hash
                 seen.add(own)
                 keep.append(row)
                 sets.append(grams.view(np.int64))
         ends = np.cumsum([0, *map(len, sets)])
         kept = batch.take(pa.array(keep, pa.int64()))
         yield pa.RecordBatch.from_arrays(
-            [kept.column("doc_id"), kept.column("part"), kept.column("copies"),
+            [kept.column("class_id"), kept.column("part"), kept.column("copies"),
              # a row weighs at least what keeps a block's table of pairs small
              pa.array(np.maximum(np.diff(ends), BLOCK_SHINGLES // BLOCK_ROWS)),
              pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.concatenate([*sets, np.empty(0, np.int64)])))],

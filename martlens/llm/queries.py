@@ -60,7 +60,7 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.similar_groups(table(spark, sf_dir, "documents"))
+    return ngram_join.similar_groups(table(spark, sf_dir, "documents")).drop("text_hash", "group_id")
 
 
 def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -270,6 +270,21 @@ def test_ngram_join_cases(spark, documents):
     assert ngram_join.similar_groups(documents([])).count() == 0
 
 
+def test_ngram_join_tells_texts_under_one_id_apart(spark, documents):
+    near, alone, far = prose(60), prose(60), prose(60)
+    rows = [(1, near), (5, near + " end"), (5, alone), (5, far), (8, far + " end"), (9, alone + " end"), (0, far + " more")]
+    got = sorted((r["doc_id"], r["n_links"], r["component_id"], r["kept"]) for r in ngram_join.similar_groups(documents(rows)).collect())
+    assert got == [(0, 2, 0, True), (1, 1, 1, True), (5, 1, 1, False), (5, 1, 5, True), (5, 2, 0, False), (8, 2, 0, False), (9, 1, 5, False)]
+
+
+def test_near_duplicates_stage_keeps_one_row_a_group(spark, documents, sf):
+    near, alone, lost = prose(60), prose(60), prose(60)
+    rows = [(1, near), (1, near), (5, near + " end"), (5, alone), (None, lost), (None, lost), (None, lost + " end"), (None, near), (6, ""), (6, "")]
+    got = corpus_pipeline.drop_near_duplicates(spark, documents(rows), sf).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in got if r["doc_id"]) == sorted([(1, near), (5, alone), (6, ""), (6, "")])
+    assert len([r for r in got if r["doc_id"] is None]) == 1
+
+
 def test_bayesian_bound_keeps_similar_pairs():
     for n, least in ngram_join.least_matches(0.8, 1e-5):
         assert 0 < least < 0.8 * n
