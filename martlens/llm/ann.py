@@ -120,8 +120,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
     bounds reaches RECALL on the sample.
 
     Vectors that are null, empty, zero or hold null or non-finite components, and rows without id,
-    take no part; neither do vectors of another length than the commonest in the sample. A query
-    is no candidate of its own id. Ties go to the smaller id; repeated rows of one id count once.
+    take no part. Vectors of each length are searched by themselves, with an index of their own. A
+    query is no candidate of its own id. Ties go to the smaller id; repeated rows of one id count once.
     No queries or rows give no rows; fewer than k candidates give all of them.
     """
     spark = vectors.sparkSession
@@ -129,19 +129,23 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
     rows = (vectors.select(F.col(id_col).alias("vec_id"), F.col(vec_col).cast("array<double>").alias("vec"),
                            F.coalesce(is_query, F.lit(False)).alias("asks"))
             .where(F.col("vec_id").isNotNull() & is_valid("vec")))
-    n = rows.count()
-    drawn = rows.select("vec").orderBy(F.xxhash64(F.lit(SEED), "vec_id"), "vec_id").limit(FIT_ROWS).collect()
-    empty = "query_id long, rank int, vec_id long, score double"
-    if not drawn:
-        return spark.createDataFrame([], empty)
-    widths = np.array([len(r["vec"]) for r in drawn])
-    dim = int(np.bincount(widths).argmax())
-    index = Index(np.array([r["vec"] for r in drawn if len(r["vec"]) == dim]), n, k)
-    shared = spark.sparkContext.broadcast(index)
-    rows = rows.where(F.size("vec") == dim)
     asked = rows.where("asks").groupBy("vec_id").agg(F.min("vec").alias("vec"))
+    found = None
+    for width, n in sorted(map(tuple, rows.groupBy(F.size("vec")).count().collect())):
+        own = F.size("vec") == width
+        near = _of_width(rows.where(own), asked.where(own), n, width, k)
+        found = near if found is None else found.unionByName(near)
+    return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double") if found is None else found
+
+
+def _of_width(rows: DataFrame, asked: DataFrame, n: int, dim: int, k: int) -> DataFrame:
+    """The search among the ``n`` rows of one length."""
+    spark = rows.sparkSession
+    drawn = rows.select("vec").orderBy(F.xxhash64(F.lit(SEED), "vec_id"), "vec_id").limit(FIT_ROWS).collect()
+    index = Index(np.array([r["vec"] for r in drawn]), n, k)
     if not index.enough:
         return _merge(_exact(rows, n, materialize(asked, "asked"), k, dim), k)
+    shared = spark.sparkContext.broadcast(index)
     vec = "vec array<double>"
     stored = rows.select("vec_id", "vec").mapInArrow(
         lambda batches: _placed(batches, shared.value), f"vec_id long, table int, bucket long, {vec}")

@@ -102,6 +102,17 @@ def test_crowded_buckets_are_dealt(spark, monkeypatch):
     assert len(got) == 9 and all(r["vec_id"] != r["query_id"] for r in got)
 
 
+def test_nearest_searches_every_width(spark):
+    rng = np.random.default_rng(13)
+    x, y = rng.normal(size=(90, 6)).astype(np.float32), rng.normal(size=(40, 4)).astype(np.float32)
+    rows = [(k, v.tolist()) for k, v in enumerate(x)] + [(1000 + k, v.tolist()) for k, v in enumerate(y)]
+    got = {}
+    for r in ann.nearest(vectors(spark, rows), F.col("vec_id") % 10 == 0, k=3).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    assert sorted(got) == [*range(0, 90, 10), *range(1000, 1040, 10)] and all(len(v) == 3 for v in got.values())
+    assert all((v < 1000) == (q < 1000) for q, near in got.items() for v in near)
+
+
 def test_embedding_pairs_at_the_threshold_are_found(spark):
     """3000 planted pairs with cosine between 0.90 and 0.92 and no other way to meet."""
     rng = np.random.default_rng(21)
