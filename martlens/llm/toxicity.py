@@ -19,8 +19,6 @@ BUCKETS = 1 << 18
 STEMS = (4, 5, 6, 7)
 #: Bound of the training sample, drawn from the labelled rows by a hash of the id.
 TRAIN_ROWS = 12_000
-#: A training document gives at most its so many distinct words with the smallest hashes; scoring reads all.
-TRAIN_WORDS = 2000
 FOLDS = 5
 EPOCHS = 8
 RATE, DECAY = 1.0, 1e-6
@@ -99,7 +97,7 @@ def _features(batches):
         names = [c for c in batch.schema.names if c != "text"]
         found, counts = [], []
         for text in batch.column("text").to_pylist():
-            own = sorted(words(text), key=lambda w: zlib.crc32(w.encode("utf-8", "surrogatepass")))[:TRAIN_WORDS]
+            own = sorted(words(text), key=lambda w: zlib.crc32(w.encode("utf-8", "surrogatepass")))
             at, n = np.unique(np.array([f for w in own for f in word_features(w)], dtype=np.int32), return_counts=True)
             found.append(at)
             counts.append(n.astype(np.float32))
@@ -112,8 +110,8 @@ def train(docs: DataFrame, labels: DataFrame, categories: list[str], id_col: str
           max_rows: int = TRAIN_ROWS) -> list[LinearModel]:
     """The chain for the 0/1 columns ``categories`` of ``labels``, in that order.
 
-    At most ``max_rows`` labelled documents are used, those with the smallest hash of the id; rows
-    with a null id or label, and of several labels of one id all but the largest, are left out.
+    At most ``max_rows`` labelled ids with a text are used, those with the smallest hash, and all
+    distinct words of their documents; rows with a null id, label or text, and of several labels of one id all but the largest, are left out.
     Folds follow the text, so copies of a document share one. Without rows the chain is empty.
     """
     spark = docs.sparkSession
@@ -122,6 +120,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: list[str], id_col: str
     for c in categories:
         known = known.where(F.col(c).isNotNull())
     drawn = (known.groupBy(F.col(id_col).alias("id")).agg(*[F.max(F.col(c).cast("int")).alias(f"label_{k}") for k, c in enumerate(categories)])
+             .join(docs.where(F.col(text).isNotNull()).select(F.col(id_col).alias("id")).distinct(), "id", "left_semi")
              .orderBy(F.xxhash64(F.lit(29), "id"), "id").limit(max_rows))
     names = [f"label_{k}" for k in range(len(categories))]
     sample = (docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).join(F.broadcast(drawn), "id")

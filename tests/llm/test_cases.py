@@ -375,6 +375,23 @@ def test_toxicity_cases(spark, documents):
     assert none == [] and not any(by_id(toxicity.classify(docs, none, ["quality", "toxic"]), "rejected").values())
 
 
+def test_toxicity_trains_on_all_words():
+    import pyarrow as pa
+    text = " ".join(f"u{k}" for k in range(9000))
+    batch = pa.RecordBatch.from_pydict({"id": [1], "text": [text]})
+    (got,) = toxicity._features([batch])
+    want = {f for w in toxicity.words(text) for f in toxicity.word_features(w)}
+    assert set(got.column("features")[0].as_py()) == want
+
+
+def test_toxicity_sample_holds_labelled_texts_only(spark, documents):
+    docs = documents([(k, prose(20) + (" vile" if k % 3 == 0 else "")) for k in range(60)] + [(k, None) for k in range(60, 90)])
+    labels = spark.createDataFrame([(k, 1, int(k % 3 == 0)) for k in range(5000)], "doc_id long, quality int, toxic int")
+    chain = toxicity.train(docs, labels, ["quality", "toxic"], max_rows=60)
+    flag = by_id(toxicity.classify(docs, chain, ["quality", "toxic"]), "rejected")
+    assert all(flag[k] == (k % 3 == 0) for k in range(60))
+
+
 def test_components(spark):
     edges = [(a, a + 1) for a in range(1, 40)] + [(100, 200), (200, 300), (300, 100), (5, 5), (None, 3), (60, 50), (60, 50)]
     got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
