@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import json
 import re
 from functools import lru_cache
 
@@ -27,25 +28,26 @@ _BLANKS = re.compile(r"\s{%d}" % LONG_RUN)
 
 
 class Encoder:
-    """Ids of the vocabulary's ``tokenizers`` file without special tokens, whose text is ordinary
-    text; read by ``tiktoken``, three times as fast, but for texts with very long runs."""
+    """Ids of the vocabulary's ``tokenizers`` file, in which the string of an added token is that
+    token, and no token is put around a text; read by ``tiktoken``, three times as fast, but for texts with very long runs."""
 
     def __init__(self, path: str):
         import public_tokenizers
         import tiktoken
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.steady = None
         self.steady_path = path.removesuffix(".tiktoken") + ".json"
+        with open(self.steady_path, encoding="utf-8") as f:
+            added = {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
+        self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added)
 
     def encode(self, text: str) -> list[int]:
         if len(text) < LONG_RUN or max(map(len, text.split()), default=0) < LONG_RUN and not _BLANKS.search(text):
-            return self.fast.encode_ordinary(text)
+            return self.fast.encode(text, allowed_special="all")
         if self.steady is None:
             from tokenizers import Tokenizer
             self.steady = Tokenizer.from_file(self.steady_path)
-            self.steady.encode_special_tokens = True
         return self.steady.encode(text, add_special_tokens=False).ids
 
 

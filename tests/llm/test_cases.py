@@ -242,6 +242,17 @@ def test_same_ids_as_the_tokenizers_file():
         assert own.encode(text) == other.encode(text, add_special_tokens=False).ids
 
 
+def test_added_tokens_as_in_the_tokenizers_file():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from martlens.llm.tokens import encoder, vocabulary_path
+    own, other = encoder(vocabulary_path()), Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    for text in ("<|endoftext|>", "a <|endoftext|> b", "one<|endoftext|><|endoftext|>\ntwo", "<|endoftext|", "x" * 1500 + " <|endoftext|> y"):
+        assert own.encode(text) == other.encode(text, add_special_tokens=False).ids
+    assert 50256 in own.encode("a<|endoftext|>")
+
+
 def jaccard(a, b):
     def grams(t):
         w = (t or "").encode().split()
