@@ -66,6 +66,15 @@ def words_of(text: bytes | None) -> list[bytes]:
     return text.split() if text else []
 
 
+#: Lower case for A-Z; digits, letters and all bytes of longer characters as they are; a blank for the rest.
+_TERM_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
+
+
+def terms_of(text: bytes | None) -> list[bytes]:
+    """The runs of ASCII letters and digits and all other characters beyond ASCII, A-Z in lower case."""
+    return text.translate(_TERM_BYTES).split() if text else []
+
+
 def utf8(column: pa.ChunkedArray | pa.Array) -> list[bytes | None]:
     return column.cast(pa.large_binary()).to_pylist()
 

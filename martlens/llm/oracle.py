@@ -59,4 +59,39 @@ SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(c
 FROM worded LEFT JOIN kept USING (doc_id)
 """
 
-ORACLE: dict[str, str] = {"op2_embedding_near_dedup": OP2, "op7_ngram_jaccard_join": OP7, "op10_substring_dedup": OP10}
+_TERMS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+OP11 = f"""
+WITH worded AS (SELECT row_number() OVER () AS row, doc_id, {_TERMS} AS w FROM documents),
+items AS (SELECT item_id::VARCHAR AS item, w, least(10, len(w)) AS k FROM (SELECT item_id, {_TERMS} AS w FROM benchmark) WHERE len(w) > 0),
+leaks AS (SELECT DISTINCT item, k, array_to_string(w[i:i + k - 1], ' ') AS passage
+          FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS i FROM items)),
+windows AS (SELECT row, k, i, array_to_string(w[i:i + k - 1], ' ') AS passage
+            FROM (SELECT row, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM worded JOIN (SELECT DISTINCT k FROM leaks) ON len(w) >= k)),
+hits AS (SELECT row, i, k, item FROM windows JOIN leaks USING (k, passage)),
+hit AS (SELECT row, count(DISTINCT place) AS n FROM (SELECT row, unnest(range(i, i + k)) AS place FROM hits) GROUP BY row),
+held AS (SELECT row, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS ids FROM hits GROUP BY row)
+SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n, 0) > 0 AS contaminated
+FROM worded LEFT JOIN hit USING (row) LEFT JOIN held USING (row)
+"""
+
+OP12 = f"""
+WITH worded AS (SELECT row_number() OVER () AS row, doc_id, {_TERMS} AS w FROM documents),
+corpus AS (SELECT count(*) AS docs, sum(len(w))::BIGINT AS terms FROM worded WHERE len(w) > 0),
+tfs AS (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(w) AS term FROM worded) GROUP BY row, term),
+weights AS (SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS weight
+            FROM tfs, corpus GROUP BY term),
+asked AS (SELECT item, item_id, term, count(*) AS times
+          FROM (SELECT row_number() OVER () AS item, item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY item, item_id, term),
+grown AS (SELECT row, 75 + (25 * len(w) * docs) // terms AS m FROM worded, corpus WHERE len(w) > 0),
+scores AS (SELECT item, item_id, row, sum(times * weight * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+           FROM asked JOIN weights USING (term) JOIN tfs USING (term) JOIN grown USING (row) GROUP BY item, item_id, row),
+ranked AS (SELECT item_id, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS rank, doc_id, score
+           FROM scores JOIN worded USING (row) WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+ORACLE: dict[str, str] = {"op2_embedding_near_dedup": OP2, "op7_ngram_jaccard_join": OP7, "op10_substring_dedup": OP10,
+                          "op11_benchmark_decontamination": OP11, "op12_ranked_lexical_search": OP12}

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlens.llm import (ann, embedding_dedup, language, mixing, ngram_join, packing, sharding, substring, token_counts,
-                          toxicity)
+from martlens.llm import (alignment, ann, decontamination, embedding_dedup, language, lexical, mixing, ngram_join, packing,
+                          sharding, substring, token_counts, toxicity)
 from martlens.llm.common import n_words
 
 CATEGORIES = ["quality", "toxic"]
@@ -77,6 +77,24 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.deduplicate(table(spark, sf_dir, "documents")).drop("kept_text", "text_hash")
 
 
+def op11_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
+def op12_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = alignment.align(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return alignment.with_link_counts(aligned).select(
+        F.col("doc_id").cast("long").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_language_id, op2_embedding_near_dedup, op3_mixing, op4_sharding, op5_packing, op6_token_counts,
-                            op7_ngram_jaccard_join, op8_nearest_neighbours, op9_toxicity, op10_substring_dedup)}
+                            op7_ngram_jaccard_join, op8_nearest_neighbours, op9_toxicity, op10_substring_dedup,
+                            op11_benchmark_decontamination, op12_ranked_lexical_search, op13_cross_tokenizer_alignment)}

@@ -40,15 +40,30 @@ class Encoder:
         self.steady_path = path.removesuffix(".tiktoken") + ".json"
         with open(self.steady_path, encoding="utf-8") as f:
             added = {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
+        self.known = {*ranks.values(), *added.values()}
         self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added)
 
     def encode(self, text: str) -> list[int]:
         if len(text) < LONG_RUN or max(map(len, text.split()), default=0) < LONG_RUN and not _BLANKS.search(text):
             return self.fast.encode(text, allowed_special="all")
+        return self._steady().encode(text, add_special_tokens=False).ids
+
+    def encode_plain(self, text: str) -> list[int]:
+        """As ``encode``, but the string of an added token in a text is plain text."""
+        if len(text) < LONG_RUN or max(map(len, text.split()), default=0) < LONG_RUN and not _BLANKS.search(text):
+            return self.fast.encode_ordinary(text)
+        steady = self._steady()
+        steady.encode_special_tokens = True
+        try:
+            return steady.encode(text, add_special_tokens=False).ids
+        finally:
+            steady.encode_special_tokens = False
+
+    def _steady(self):
         if self.steady is None:
             from tokenizers import Tokenizer
             self.steady = Tokenizer.from_file(self.steady_path)
-        return self.steady.encode(text, add_special_tokens=False).ids
+        return self.steady
 
 
 @lru_cache(maxsize=2)
