@@ -34,8 +34,8 @@ from martlens.llm.tokens import encoder, vocabulary_path
 
 #: Tokens of A in a lane, about; longer texts are cut into lanes at common ends.
 LANE = 256
-#: Bytes of text that are tokenised and merged at a time.
-BATCH_BYTES = 1 << 22
+#: Characters of text that are tokenised and merged at a time, or one text.
+BATCH_BYTES = 1 << 20
 #: Groups of more links than this are counted by distinct ids.
 LARGE_GROUP = 64
 #: Bound of the broadcast: pairs with their counts in one pass (17 bytes each).
