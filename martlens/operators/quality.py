@@ -7,10 +7,9 @@ A check yields *violation rows* in one shared shape
 
 (``weight`` > 1 stands for several identical violations, used by check C).
 ``summarize`` turns them into issue rows ``check_name, severity, row_count,
-sample_ids, details``: the count is a plain aggregate (partial on the map
-side), and the sample is the first 10 rows by (sort_d, sort_s, sort_n), nulls
-last, picked with ``row_number() <= 10`` (a partial WindowGroupLimit before
-the shuffle).  No group is ever collected whole.
+sample_ids, details``: each task folds its violations into a count and the
+first 10 rows by (sort_d, sort_s, sort_n), nulls last, per check, and only
+these states are shuffled and merged.  No group is ever collected whole.
 
 Anti joins always take a *distinct* key set on the right: a key repeated by a
 third of the rows is collapsed by the map-side partial aggregate instead of
@@ -27,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martlens.functions.exprs import lit_date, lit_ts, pg_concat
-from martlens.functions.joins import with_scalar
+from martlens.functions.topk import smallest_and_total
 from martlens.params import Params
 from martlens.plans.tables import RetailTables
 from martlens.plans.views import (base_customers, base_inventory, base_order_items, base_orders,
@@ -66,10 +65,13 @@ def v_b(t, p):
                       "order_item_id", sort_n="order_item_id")
 
 
-def _purchases(t) -> DataFrame:
-    """(product_id, customer_id, n_items): items of a product in that customer's orders."""
+def _purchases(t, reviews: DataFrame) -> DataFrame:
+    """(product_id, customer_id, n_bought): items of a product in that customer's orders, for the pairs that
+    ``reviews`` ask for; the semi join keeps all other purchases out of the aggregate."""
     o = base_orders(t).select("order_id", "customer_id")
+    asked = reviews.select("product_id", "customer_id").distinct()
     return (base_order_items(t).select("order_id", "product_id").join(o, "order_id")
+            .join(asked, ["product_id", "customer_id"], "left_semi")
             .groupBy("product_id", "customer_id").agg(F.count(F.lit(1)).alias("n_bought")))
 
 
@@ -84,7 +86,7 @@ def v_c(t, p):
     r = t.customer_reviews.filter(F.col("is_verified_purchase") == F.lit(True)).select(
         "review_id", "product_id", "customer_id", "review_date")
     per_product = base_order_items(t).groupBy("product_id").agg(F.count(F.lit(1)).alias("n_items"))
-    j = (r.join(per_product, "product_id", "left").join(_purchases(t), ["product_id", "customer_id"], "left")
+    j = (r.join(per_product, "product_id", "left").join(_purchases(t, r), ["product_id", "customer_id"], "left")
          .withColumn("w", F.when(F.col("n_items").isNull(), F.lit(1))
                      .otherwise(F.col("n_items") - F.coalesce("n_bought", F.lit(0))))
          .filter(F.col("w") > 0))
@@ -96,7 +98,7 @@ def v_c_intent(t, p):
     """Intent of check C: verified reviews whose reviewer never bought the product."""
     r = t.customer_reviews.filter(F.col("is_verified_purchase") == F.lit(True)).select(
         "review_id", "product_id", "customer_id", "review_date")
-    bought = _purchases(t).select("product_id", "customer_id")
+    bought = _purchases(t, r).select("product_id", "customer_id")
     j = r.join(bought, ["product_id", "customer_id"], "left_anti")
     return violations(j, pg_concat("product_id", F.lit("|"), "customer_id"), sort_d="review_date",
                       sort_n="product_id", sort_n2="customer_id", sort_n3="review_id")
@@ -221,28 +223,18 @@ BY_LETTER = {c.letter: c for c in CHECKS}
 SORT_KEYS = ["sort_d", "sort_s", "sort_n", "sort_n2", "sort_n3"]
 
 
-def summarize_violations(spark, v: DataFrame, checks: list[Check]) -> DataFrame:
+def summarize_violations(v: DataFrame, checks: list[Check]) -> DataFrame:
     """Issue rows from violation rows tagged with ``seq`` (index into ``checks``).
 
-    Identical violations are first collapsed into weights by a full-key
-    aggregate (a repeated key is folded map-side); that one exchange feeds both
-    the count and the sample branch, so the violations are produced once.  A
-    single check is summarised with global aggregates (provably one row each)."""
-    keys = ["seq"] if len(checks) > 1 else []
-    vw = v.groupBy("seq", *SORT_KEYS, "sample").agg(F.sum("weight").alias("weight"))
-    counts = vw.groupBy(*keys).agg(F.sum("weight").alias("row_count"))
-    w = Window.partitionBy(*keys).orderBy(*[F.col(k).asc_nulls_last() for k in SORT_KEYS])
-    top = (vw.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= SAMPLE_SIZE)
-           .groupBy(*keys)
-           .agg(F.array_sort(F.collect_list(F.struct("rn", "sample", "weight"))).alias("top")))
+    Each task keeps, per check, a count and the SAMPLE_SIZE smallest violations
+    (``functions.topk``); only these cross the network, and every violation is
+    produced once."""
+    found = smallest_and_total(v, "seq", [*SORT_KEYS, "sample"], "weight", SAMPLE_SIZE)
     # expand repeated violations (weight) only inside the <= 10 retained entries
     expanded = F.flatten(F.transform(
         "top", lambda x: F.array_repeat(x["sample"], F.least(x["weight"], F.lit(SAMPLE_SIZE)).cast("int"))))
-    samples = top.select(*keys, F.array_join(F.slice(expanded, 1, SAMPLE_SIZE), ",").alias("sample_ids"))
-    if keys:
-        joined = counts.join(samples, keys, "left")
-    else:
-        joined = with_scalar(counts, samples).withColumn("seq", F.lit(0))
+    joined = found.select("seq", F.col("total").alias("row_count"),
+                          F.array_join(F.slice(expanded, 1, SAMPLE_SIZE), ",").alias("sample_ids"))
 
     # check metadata by position: literal arrays, no join
     def pick(attr):
@@ -260,7 +252,7 @@ def summarize(t: RetailTables, p: Params, checks: list[Check]) -> DataFrame:
     for i, c in enumerate(checks):
         part = c.rows(t, p).withColumn("seq", F.lit(i))
         v = part if v is None else v.unionByName(part)
-    return summarize_violations(t.spark, v, checks)
+    return summarize_violations(v, checks)
 
 
 def check_op(letter: str, intent: bool = False):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -70,6 +71,24 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return base.rstrip("/") + "/" + name
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once an application, as --py-files would: Python tasks import it."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(os.path.realpath(tempfile.mkdtemp()), "martlens.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for folder, _, names in os.walk(package):
+            for name in (n for n in names if n.endswith(".py")):
+                z.write(os.path.join(folder, name), os.path.relpath(os.path.join(folder, name), os.path.dirname(package)))
+    spark.sparkContext.addPyFile(target)
+    _shipped.add(app)
+
+
 def cluster_conf(input_bytes: int, total_cores: int, target_partition_mb: int = 256) -> dict:
     """Sizing for a cluster run over ``input_bytes`` of parquet on ``total_cores``.
 
