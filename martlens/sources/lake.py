@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from martlens import schemas
 from martlens.functions.windows import number_rows
+from martlens.sources import versions
 
 
 def table_path(root: str, name: str) -> str:
@@ -62,14 +63,16 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def wipe_replace(df: DataFrame, path: str, id_col: str = "id", order_cols=None) -> None:
-    """TRUNCATE ... RESTART IDENTITY then refill: ids renumbered from 1."""
+def wipe_replace(df: DataFrame, path: str, id_col: str = "id", order_cols=None) -> int:
+    """TRUNCATE ... RESTART IDENTITY then refill: ids renumbered from 1; returns the table's new version.
+
+    The new rows are written beside the old ones and take their place in one step (``sources.versions``):
+    read the table with ``versions.read_table``."""
     order_cols = order_cols or [c for c in df.columns if c != id_col]
     # numbered over all tasks, so that any table may be replaced
     cols = list(dict.fromkeys([*order_cols, *df.columns]))
     out = number_rows(df.select(cols), cols, out="_new_id")
-    out.select(F.col("_new_id").alias(id_col), *[c for c in df.columns if c != id_col]) \
-        .write.mode("overwrite").parquet(path)
+    return versions.replace_table(out.select(F.col("_new_id").alias(id_col), *[c for c in df.columns if c != id_col]), path)
 
 
 # Bucketed layout: orders and order items share the bucket count on order_id,

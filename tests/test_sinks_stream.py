@@ -11,7 +11,7 @@ from martlens.operators import quality
 from martlens.operators.analytics import sales
 from martlens.params import Params
 from martlens.plans.tables import RetailTables
-from martlens.sources import lake
+from martlens.sources import lake, versions
 from martlens.streaming import dq_monitor
 
 SF = "/root/testdata/sf0.001"
@@ -43,7 +43,7 @@ def test_append_and_wipe_replace(spark, tables, scratch):
     lake.append(issues, path)
     assert spark.read.parquet(path).count() == 2 * issues.count()
     lake.wipe_replace(issues.filter(F.col("row_count") > 50), path + "_cur", order_cols=["check_name"])
-    ids = [r.id for r in spark.read.parquet(path + "_cur").orderBy("id").collect()]
+    ids = [r.id for r in versions.read_table(spark, path + "_cur").orderBy("id").collect()]
     assert ids == list(range(1, len(ids) + 1))
 
 
@@ -140,9 +140,9 @@ def test_data_quality_job_publishes_and_is_rerunnable(spark, tables, scratch, mo
             dq_job.run_data_quality_job(spark, tables, P, scratch, run_at=night)
     assert dq_job.published(spark, scratch) == []
     r1 = dq_job.run_data_quality_job(spark, tables, P, scratch, run_at=night)
-    folder = dq_job.run_folder(scratch, r1)
+    folder = dq_job.run_folder(spark, scratch, r1)
     # healed tables and results only: the unchanged tables are not copied
-    assert sorted(os.listdir(folder)) == ["customers", "data_fix_audit", "dq_issues", "dq_issues_history", "dq_notifications", "orders"]
+    assert sorted(os.listdir(folder)) == ["customers", "data_fix_audit", "dq_issues", "dq_notifications", "orders"]
     issues = spark.read.parquet(os.path.join(folder, "dq_issues"))
     expected = {(r.check_name, r.row_count) for r in quality.dq_run_all(tables, P).collect()}
     assert {(r.check_name, r.row_count) for r in issues.collect()} == expected
@@ -156,7 +156,7 @@ def test_data_quality_job_publishes_and_is_rerunnable(spark, tables, scratch, mo
     after = dq_job.current_snapshot(spark, scratch, tables)
     n = after.dq_issues.count()
     assert n > issues.count() and [r.id for r in after.dq_issues.orderBy("id").collect()] == list(range(1, n + 1))
-    second = spark.read.parquet(os.path.join(dq_job.run_folder(scratch, r2), "data_fix_audit"))
+    second = spark.read.parquet(os.path.join(dq_job.run_folder(spark, scratch, r2), "data_fix_audit"))
     assert second.filter("check_name = 'orders_invalid_customer'").count() == 0
     # the alerts run on the job's own output: all is open but what the heals fixed at the last sighting
     import dataclasses
