@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martlens.functions.exprs import dbl, lit_date, pg_dow, ratio, rnd
+from martlens.functions.dates import in_dates
+from martlens.functions.exprs import dbl, pg_dow, ratio, rnd
 from martlens.functions.joins import with_scalar
 from martlens.operators.analytics.common import items_per_product
 from martlens.params import Params
@@ -14,10 +15,9 @@ from martlens.plans.views import base_orders, base_products
 
 
 def q01_monthly_revenue(t: RetailTables, p: Params) -> DataFrame:
-    o = base_orders(t)
-    # the range predicate on order_date reaches the parquet scan (PushedFilters)
-    return (o.filter((F.col("order_date") >= lit_date(p.q01_start)) & (F.col("order_date") < lit_date(p.q01_end)))
-            .groupBy("order_month").agg(F.sum("final_total").alias("total_sales"))
+    # the range reaches the parquet scan (PushedFilters, and PartitionFilters on a table stored by month)
+    o = base_orders(t.replace(orders=in_dates(t.orders, start=p.q01_start, before=p.q01_end)))
+    return (o.groupBy("order_month").agg(F.sum("final_total").alias("total_sales"))
             .orderBy("order_month")
             .select(F.date_format("order_month", "yyyy-MM").alias("month"),
                     dbl("total_sales").alias("total_sales")))

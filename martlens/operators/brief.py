@@ -5,20 +5,20 @@ over month, best weekday, top status, top payment) are all derived from one
 small pre-aggregate of orders by (order_date, order_status, payment_method),
 whose size is bounded by days x statuses x methods, not by orders.  The
 per-customer metrics share one per-customer aggregate.  ``b28_brief_row``
-cross-joins the one-row results; identical sub-plans are reused exchanges.
+is built from the mergeable rollups of ``brief_rollup``.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from martlens.functions.dates import in_dates
 from martlens.functions.exprs import day_name, gross_amount, lit_date, net_amount, discount_amount, ratio
 from martlens.functions.joins import with_scalar
+from martlens.operators import brief_rollup
 from martlens.params import Params
 from martlens.plans.tables import RetailTables
 
@@ -34,27 +34,6 @@ def rnd(x, n: int) -> F.Column:
     return F.round(c.cast("double").cast("decimal(38,9)"), n).cast("double")
 
 
-#: What the last brief row of an application keeps, so that the next one frees it.
-_KEPT: list[tuple[str, DataFrame]] = []
-
-
-def _kept(df: DataFrame) -> DataFrame:
-    """``df`` stored on the executors' disks when an action first needs it, lost parts being recomputed.
-
-    Many metrics read a shared aggregate with different columns; column pruning would else make each scan
-    the fact table again. Nothing runs here, and the tag keeps an earlier row's data from answering."""
-    tagged = df.withColumn("_row", F.lit(uuid.uuid4().hex)).persist(StorageLevel.DISK_ONLY)
-    _KEPT.append((df.sparkSession.sparkContext.applicationId, tagged))
-    return tagged.drop("_row")
-
-
-def _free(spark) -> None:
-    while _KEPT:
-        app, df = _KEPT.pop()
-        if app == spark.sparkContext.applicationId:
-            df.unpersist()
-
-
 def _daily(t: RetailTables) -> DataFrame:
     return t.memo("brief_daily", lambda: _daily_build(t))
 
@@ -84,8 +63,7 @@ def b02_topline(t, p):
                 F.sum(F.when(F.col("order_date") == F.date_sub("report_date", 1), F.col("rev"))).alias("r_yest")))
     # the report day's orders are few: filter them first, then join their items
     items = (t.order_items.select("order_id", "quantity")
-             .join(with_scalar(t.orders.select("order_id", "order_date"), d)
-                   .filter(F.col("order_date") == F.col("report_date")).select("order_id"), "order_id")
+             .join(in_dates(t.orders, on=d.scalar()).select("order_id"), "order_id")
              .agg(F.sum("quantity").alias("q_today")))
     x = day.crossJoin(F.broadcast(items))
     rt, ry = F.coalesce("r_today", F.lit(0)), F.coalesce("r_yest", F.lit(0))
@@ -203,15 +181,6 @@ def _product_sale_dates_build(t: RetailTables) -> DataFrame:
                  F.count_if(F.col("order_date").isNull()).alias("n_undated")))
 
 
-def _product_facts(t: RetailTables) -> DataFrame:
-    """Both per-product aggregates from one pass over items LEFT JOIN orders."""
-    od = t.orders.select("order_id", "order_date")
-    return (t.order_items.join(od, "order_id", "left").groupBy("product_id")
-            .agg(F.sum(gross_amount()).alias("gross"), F.sum(net_amount(coalesce_discount=True)).alias("net0"),
-                 F.sum("quantity").alias("qty"), F.min("order_date").alias("first_sale"),
-                 F.max("order_date").alias("last_sale"), F.count_if(F.col("order_date").isNull()).alias("n_undated")))
-
-
 def b07_rfm_ltv(t, p):
     c = with_scalar(_per_customer(t), _report_date(t))
     rec = F.datediff("report_date", "last")
@@ -393,25 +362,8 @@ METRICS = [b01_report_date, b02_topline, b03_mom_growth, b03_mom_growth_exact, b
 
 
 def b28_brief_row(t: RetailTables, p: Params) -> DataFrame:
-    """Every metric as one wide row.
-
-    Each metric is exactly one row; stacking them by name (absent columns are
-    NULL) and taking one ``max`` per column folds them into a single row with
-    one small aggregate, instead of a chain of one-row cross joins."""
-    _free(t.spark)
-    t = t.replace()  # the shared aggregates below belong to this row alone
-    t.memo("brief_daily", lambda: _kept(_daily_build(t)))
-    t.memo("brief_per_customer", lambda: _kept(_per_customer_build(t)))
-    facts = t.memo("brief_items_per_product", lambda: _kept(_product_facts(t)))
-    t.memo("brief_product_sale_dates", lambda: facts)
-    parts = [m(t, p) for m in METRICS]
-    cols = [c for part in parts for c in part.columns]
-    stacked = parts[0]
-    for part in parts[1:]:
-        stacked = stacked.unionByName(part, allowMissingColumns=True)
-    row = stacked.agg(*[F.max(c).alias(c) for c in cols])
-    return row.withColumn("revenue_status",
-                          F.when(F.col("rev_change") >= 0, "Yield Positive").otherwise("Contraction"))
+    """Every metric as one wide row, from mergeable rollups of the facts (``brief_rollup``)."""
+    return brief_rollup.brief_row(brief_rollup.partials(t), t, p)
 
 
 OPS = {m.__name__: m for m in METRICS}

@@ -25,7 +25,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martlens.functions.exprs import lit_date, lit_ts, pg_concat
+from martlens.functions.dates import in_dates
+from martlens.functions.exprs import lit_ts, pg_concat
 from martlens.functions.topk import smallest_and_total
 from martlens.params import Params
 from martlens.plans.tables import RetailTables
@@ -145,7 +146,7 @@ def v_j(t, p):
 
 
 def v_k(t, p):
-    o = base_orders(t).filter(F.col("order_date") > lit_date(p.dq_as_of))
+    o = base_orders(t.replace(orders=in_dates(t.orders, after=p.dq_as_of)))
     return violations(o, "order_id", sort_d="order_date", sort_n="order_id")
 
 

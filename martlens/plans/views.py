@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from martlens.functions.dates import MONTH
 from martlens.functions.exprs import month_start, net_amount
 from martlens.plans.tables import RetailTables
 
 
 def base_orders(t: RetailTables) -> DataFrame:
-    return t.orders.select("order_id", "customer_id", "order_date",
-                           month_start("order_date").alias("order_month"),
+    # a table stored by month has the month as its partition column
+    month = F.col(MONTH) if MONTH in t.orders.columns else month_start("order_date").alias(MONTH)
+    return t.orders.select("order_id", "customer_id", "order_date", month,
                            "order_status", "payment_method", "shipping_country", "final_total")
 
 

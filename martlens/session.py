@@ -110,6 +110,11 @@ def cluster_conf(input_bytes: int, total_cores: int, target_partition_mb: int =
     }
 
 
+def by_month(table_bytes: int, months: int, n_buckets: int = 1, least_mb: int = 64) -> bool:
+    """Whether orders of this size give month partitions (times buckets) files of at least ``least_mb``."""
+    return table_bytes >= months * n_buckets * (least_mb << 20)
+
+
 def bucket_count(table_bytes: int, bucket_mb: int = 1024, minimum: int = 8) -> int:
     """Buckets for a bucketed fact table: about ``bucket_mb`` per bucket, a power of two."""
     n = max(minimum, table_bytes // (bucket_mb << 20) + 1)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlens import schemas
+from martlens.functions.dates import MONTH, with_month
 from martlens.functions.windows import number_rows
 from martlens.sources import versions
 
@@ -45,9 +46,16 @@ def conform(df: DataFrame, name: str) -> DataFrame:
 SORT_WITHIN = {"orders": ["order_date", "order_id"], "order_items": ["order_id"]}
 
 
-def write_lake(tables, root: str, names=None, mode: str = "overwrite") -> None:
+def write_lake(tables, root: str, names=None, mode: str = "overwrite", by_month: bool = False) -> None:
+    """Parquet folders, one a table. ``by_month``: orders in a folder a month (``session.by_month`` tells
+    whether a table is large enough for that); a month of any size is split over tasks by date."""
     for name in names or schemas.TABLES:
         df = conform(tables[name], name)
+        if by_month and name == "orders":
+            df = with_month(df)
+            df = df.repartitionByRange(MONTH, *SORT_WITHIN[name]).sortWithinPartitions(MONTH, *SORT_WITHIN[name])
+            df.write.mode(mode).partitionBy(MONTH).parquet(table_path(root, name))
+            continue
         if name in SORT_WITHIN:
             df = df.sortWithinPartitions(*SORT_WITHIN[name])
         df.write.mode(mode).parquet(table_path(root, name))
@@ -80,9 +88,10 @@ def wipe_replace(df: DataFrame, path: str, id_col: str = "id", order_cols=None)
 BUCKETS = {"orders": "order_id", "order_items": "order_id"}
 
 
-def write_catalog(tables, database: str, location: str, n_buckets: int, names=None) -> None:
+def write_catalog(tables, database: str, location: str, n_buckets: int, names=None, by_month: bool = False) -> None:
     """Write the tables as catalog tables under ``location`` (a shared folder);
-    orders and order items are bucketed and sorted by order_id."""
+    orders and order items are bucketed and sorted by order_id. ``by_month``: each bucket of
+    orders has a file a month, so date ranges prune months and joins still need no shuffle."""
     spark = tables.spark
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location}'")
     for name in names or schemas.TABLES:
@@ -90,7 +99,9 @@ def write_catalog(tables, database: str, location: str, n_buckets: int, names=No
         if name in BUCKETS:
             # same hash as the bucket id: each task writes exactly one bucket file
             df = df.repartition(n_buckets, BUCKETS[name])
-            w = df.write.mode("overwrite").format("parquet").bucketBy(n_buckets, BUCKETS[name]).sortBy(BUCKETS[name])
+            parted = by_month and name == "orders"
+            w = (with_month(df) if parted else df).write.mode("overwrite").format("parquet")
+            w = (w.partitionBy(MONTH) if parted else w).bucketBy(n_buckets, BUCKETS[name]).sortBy(BUCKETS[name])
         else:
             w = df.write.mode("overwrite").format("parquet")
         w.saveAsTable(f"{database}.{name}")
