@@ -14,7 +14,8 @@ from martlens.llm.common import columns, materialize
 MAX_EPOCHS = 3
 #: Cost of a word the first, second and third time: each repetition costs more than the last.
 EPOCH_COSTS = (0, 1, 3)
-#: The sources and their membership patterns are a catalogue that one machine holds.
+#: The sources and their membership patterns are a catalogue that one machine holds: beyond this number the mix
+#: fails with an error (the flow on the driver takes one shortest path an edge that fills up).
 MAX_PATTERNS = 100_000
 SEED = 4711
 
@@ -102,12 +103,13 @@ def mix(docs: DataFrame, size: Column, sources: Column, weights, key: list[str],
     null last, to their weights. Documents are aggregated by membership pattern; a source's size
     is the sum over its patterns, its target a weighted share of all words, at most MAX_EPOCHS
     times its size. The flow gives each pattern the words to take: whole epochs of all its
-    documents, and of the rest those with the smallest seeded hash of ``key``. The last one is
-    taken if that leaves the sum closer. mix_copies is between 0 and MAX_EPOCHS.
+    documents, and of the rest those with the smallest seeded hash of ``key``; rows that share the
+    last hash (repeated rows) are numbered as they are written and cut among themselves in the same way. The
+    last row is taken if that leaves the sum closer. mix_copies is between 0 and MAX_EPOCHS.
 
     The cut of a pattern is found in two rounds of sums over 4096 hash ranges, then among the rows
-    of one range in 16 million: no pattern is ever sorted whole. Rows with one hash (repeated
-    rows) are taken or left together. Documents of size null count 0; documents without source or
+    of one range in 16 million: no pattern, and no group of equal rows, is ever sorted whole.
+    Documents of size null count 0; documents without source or
     words are taken 0 times. No rows give no rows.
     """
     spark = docs.sparkSession
@@ -124,6 +126,8 @@ def mix(docs: DataFrame, size: Column, sources: Column, weights, key: list[str],
         raise ValueError(f"more than {MAX_PATTERNS} membership patterns")
     held = (marked.select(F.explode(F.array_distinct("mix_pattern")).alias("s")).distinct()
             .limit(MAX_PATTERNS + 1).collect())
+    if len(held) > MAX_PATTERNS:
+        raise ValueError(f"more than {MAX_PATTERNS} sources")
     names = sorted((r["s"] for r in held if r["s"] is not None)) + [None] * any(r["s"] is None for r in held)
     place = {s: k for k, s in enumerate(names)}
     members = [[place[s] for s in r["mix_pattern"]] for r in patterns]
@@ -140,21 +144,32 @@ def mix(docs: DataFrame, size: Column, sources: Column, weights, key: list[str],
               for r, w, f in zip(patterns, words, flows)]
     wanted = [(p, e, max(0.0, f - e * w) if e < MAX_EPOCHS else 0.0) for (p, e, f), w in zip(wanted, words)]
     plan = spark.createDataFrame(wanted, "mix_pattern array<string>, epochs int, rest double")
-    cuts = _cuts(slim, plan)
-    chosen = (marked.join(F.broadcast(cuts), F.to_json(F.struct("mix_pattern")) == F.col("llm_pattern"), "left")
-              .withColumn("mix_copies", F.when(F.col("mix_size") > 0, F.coalesce("llm_epochs", F.lit(0))
-                                               + F.coalesce(hashed <= F.col("llm_cut"), F.lit(False)).cast("int"))
-                          .otherwise(0)))
-    return chosen.select(*columns(docs), "mix_size", "mix_pattern", "mix_copies"), report
-
-
-def _cuts(slim: DataFrame, plan: DataFrame) -> DataFrame:
-    """Per pattern its epochs and the largest hash that the rest of its words reaches."""
-    key = F.to_json(F.struct("mix_pattern"))
-    rows = slim.withColumn("p", key).drop("mix_pattern")
-    want = plan.withColumn("p", key)
-    rest = want.select("p", "rest")
-    reach: list[Column] = []
+    pattern = F.to_json(F.struct("mix_pattern"))
+    cuts = _cuts(slim.select(pattern.alias("p"), "mix_size", "h"),
+                 plan.select(pattern.alias("p"), "rest")).select("p", F.col("cut").alias("llm_cut"), F.col("rest").alias("llm_rest"))
+    wanted = plan.select(pattern.alias("p"), F.col("epochs").alias("llm_epochs")).join(cuts, "p", "left")
+    wanted = materialize(wanted.withColumnRenamed("p", "llm_pattern"), "wanted")  # a row a pattern
+    placed = (marked.withColumn("llm_hash", hashed).join(F.broadcast(wanted), pattern == F.col("llm_pattern"), "left")
+              .withColumn("llm_last", F.coalesce((F.col("llm_hash") == F.col("llm_cut")) & (F.col("mix_size") > 0), F.lit(False))))
+    # rows at the cut get numbers that stay, as they are written; a second cut by the hash of the number parts equal rows
+    last = materialize(placed.where("llm_last").withColumn("llm_number", F.xxhash64(F.lit(seed), F.monotonically_increasing_id())), "last")
+    among = _cuts(last.select(F.col("llm_pattern").alias("p"), "mix_size", F.col("llm_number").alias("h")),
+                  wanted.where("llm_cut is not null").select(F.col("llm_pattern").alias("p"), F.col("llm_rest").alias("rest")))
+    # the row in which the sum passes the target is taken if that is closer
+    closer = (F.col("words") - F.col("rest") < F.col("rest")).alias("llm_closer")
+    among = materialize(among.select(F.col("p").alias("llm_among"), F.col("cut").alias("llm_number_cut"), closer), "among")
+    last = last.join(F.broadcast(among), F.col("llm_pattern") == F.col("llm_among"), "left").withColumn(
+        "llm_more", F.coalesce((F.col("llm_number") < F.col("llm_number_cut")) | ((F.col("llm_number") == F.col("llm_number_cut")) & F.col("llm_closer")), F.lit(False)))
+    rest = placed.where(~F.col("llm_last")).withColumn("llm_more", F.coalesce(F.col("llm_hash") < F.col("llm_cut"), F.lit(False)))
+    copies = F.when(F.col("mix_size") > 0, F.coalesce("llm_epochs", F.lit(0)) + F.col("llm_more").cast("int")).otherwise(0).alias("mix_copies")
+    result = [*columns(docs), F.col("mix_size"), F.col("mix_pattern"), copies]
+    return rest.select(*result).unionByName(last.select(*result)), report
+
+
+def _cuts(rows: DataFrame, want: DataFrame) -> DataFrame:
+    """(p, cut, rest, words): per pattern the hash in whose rows the sum of mix_size, by ascending hash, passes ``rest``
+    of ``want`` (p, rest), how much of it those rows have to give, and their words; no row if the sum never passes."""
+    rest = want
     for shift in (52, 40):
         part = F.shiftright("h", shift)
         sums = (rows.groupBy("p", part.alias("part")).agg(F.sum("mix_size").alias("words"))
@@ -165,9 +180,6 @@ def _cuts(slim: DataFrame, plan: DataFrame) -> DataFrame:
         rows = rows.join(F.broadcast(edge.select("p", F.col("part").alias("edge"))), "p").where(part == F.col("edge")).drop("edge")
         rest = edge.select("p", "rest")
     each = rows.groupBy("p", "h").agg(F.sum("mix_size").alias("words"))
-    last = (each.withColumn("upto", F.sum("words").over(W.partitionBy("p").orderBy("h")))
+    return (each.withColumn("upto", F.sum("words").over(W.partitionBy("p").orderBy("h")))
             .join(F.broadcast(rest), "p").where("upto - words <= rest and rest < upto")
-            .withColumn("cut", F.when(F.col("upto") - F.col("rest") < F.col("rest") - (F.col("upto") - F.col("words")), F.col("h"))
-                        .otherwise(F.col("h") - 1)))
-    return (want.join(last.select("p", "cut"), "p", "left")
-            .select(F.col("p").alias("llm_pattern"), F.col("epochs").alias("llm_epochs"), F.col("cut").alias("llm_cut")))
+            .select("p", F.col("h").alias("cut"), (F.col("rest") - (F.col("upto") - F.col("words"))).alias("rest"), "words"))
