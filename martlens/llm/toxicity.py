@@ -10,15 +10,18 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from martlens.llm.common import columns, list_arrays, ready
+from martlens.llm.common import columns, list_arrays, materialize, ready
 
 BUCKETS = 1 << 18
 #: A word counts as itself and as its beginnings of so many characters, which its inflections share.
 STEMS = (4, 5, 6, 7)
-#: Bound of the training sample, drawn from the labelled rows by a hash of the id.
+#: Bounds of the training sample, drawn from the labelled rows by a hash of the id: rows (one a different text of
+#: an id), and features of all rows together, which the driver holds (8 bytes each).
 TRAIN_ROWS = 12_000
+TRAIN_FEATURES = 1 << 25
 FOLDS = 5
 EPOCHS = 8
 RATE, DECAY = 1.0, 1e-6
@@ -107,11 +110,12 @@ def _features(batches):
 
 
 def train(docs: DataFrame, labels: DataFrame, categories: list[str], id_col: str = "doc_id", text: str = "text",
-          max_rows: int = TRAIN_ROWS) -> list[LinearModel]:
+          max_rows: int = TRAIN_ROWS, max_features: int = TRAIN_FEATURES) -> list[LinearModel]:
     """The chain for the 0/1 columns ``categories`` of ``labels``, in that order.
 
-    At most ``max_rows`` labelled ids with a text are used, those with the smallest hash, and all
-    distinct words of their documents; rows with a null id, label or text, and of several labels of one id all but the largest, are left out.
+    At most ``max_rows`` different texts of labelled ids are used, those of the ids with the smallest hash, and all
+    distinct words of each; of these rows, in the order of the hash, as many as have ``max_features`` features together.
+    Repeated rows count once. Rows with a null id, label or text, and of several labels of one id all but the largest, are left out.
     Folds follow the text, so copies of a document share one. Without rows the chain is empty.
     """
     spark = docs.sparkSession
@@ -123,11 +127,16 @@ def train(docs: DataFrame, labels: DataFrame, categories: list[str], id_col: str
              .join(docs.where(F.col(text).isNotNull()).select(F.col(id_col).alias("id")).distinct(), "id", "left_semi")
              .orderBy(F.xxhash64(F.lit(29), "id"), "id").limit(max_rows))
     names = [f"label_{k}" for k in range(len(categories))]
-    sample = (docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).join(F.broadcast(drawn), "id")
-              .select("id", *names, F.pmod(F.crc32(F.col("text").cast("binary")), F.lit(FOLDS)).cast("int").alias("fold"), "text")
-              .where("text is not null"))
-    schema = "id " + drawn.schema["id"].dataType.simpleString() + "".join(f", {n} int" for n in names) + ", fold int, features array<int>, counts array<float>"
-    got = sample.mapInArrow(_features, schema).orderBy("id", "fold").toArrow()
+    sample = (docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).join(F.broadcast(drawn), "id").where("text is not null")
+              .withColumn("key", F.sha2(F.col("text").cast("binary"), 256)).dropDuplicates(["id", "key"])
+              .select("id", "key", *names, F.pmod(F.crc32(F.col("text").cast("binary")), F.lit(FOLDS)).cast("int").alias("fold"), "text"))
+    kind = drawn.schema["id"].dataType.simpleString()
+    counted = materialize(sample.mapInArrow(_features, f"id {kind}, key string{''.join(f', {n} int' for n in names)}, fold int, features array<int>, counts array<float>"), "sample")
+    # the ids are bounded, their rows are not: both bounds hold for the rows, chosen by their keys alone
+    order = [F.xxhash64(F.lit(29), "id"), F.col("id"), F.col("key")]
+    kept = counted.select("id", "key", F.size("features").alias("n")).orderBy(*order).limit(max_rows)
+    kept = kept.withColumn("upto", F.sum("n").over(W.orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow))).where(F.col("upto") <= max_features)
+    got = counted.join(F.broadcast(kept.select("id", "key")), ["id", "key"]).orderBy("id", "key").toArrow()
     if not got.num_rows:
         return []
     (at, ends), (n, _) = (list_arrays(got.column(c)) for c in ("features", "counts"))

@@ -440,5 +440,6 @@ def test_queries_survive_odd_tables(spark, documents, tmp_path):
     documents(ODD).write.parquet(f"{tmp_path}/documents.parquet")
     vectors(spark, [(0, [1.0, 0.0, 0.5]), (1, [1.0, 0.1, 0.5]), *BAD]).write.parquet(f"{tmp_path}/embeddings.parquet")
     spark.createDataFrame([(4, 1, 0), (None, None, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, "a b c d"), (2, None), (None, "x"), (4, "")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     for name, query in QUERIES.items():
         assert query(spark, str(tmp_path)).count() > 0, name
