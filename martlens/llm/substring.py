@@ -59,18 +59,24 @@ def _text_key(text: bytes) -> int:
     return xxhash.xxh64_intdigest(text) - (1 << 63)
 
 
+def _text_check(text: bytes) -> int:
+    """64 bits more of a text: key and check together tell copies."""
+    return xxhash.xxh64_intdigest(text, seed=0x5EED) - (1 << 63)
+
+
 def _rows(batches, window: int):
-    """Per document: hash and key of its text, words, digest of its words."""
+    """Per document: hash, key and check of its text, words, digest of its words."""
     for batch in batches:
-        keys, n, digests = [], [], []
+        keys, checks, n, digests = [], [], [], []
         for text in utf8(batch.column("text")):
             words = words_of(text)
             keys.append(_text_key(text) if len(words) >= window else None)
+            checks.append(_text_check(text) if len(words) >= window else None)
             n.append(len(words))
             digests.append(hashlib.sha256(b" ".join(words)).hexdigest())
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("text_hash"), pa.array(keys, pa.int64()), pa.array(n, pa.int64()), pa.array(digests)],
-            names=["doc_id", "text_hash", "text_key", "n_words", "sha256"])
+            [batch.column("doc_id"), batch.column("text_hash"), pa.array(keys, pa.int64()), pa.array(checks, pa.int64()), pa.array(n, pa.int64()), pa.array(digests)],
+            names=["doc_id", "text_hash", "text_key", "text_check", "n_words", "sha256"])
 
 
 _GATHERED = pa.schema([("bucket", pa.int32()), ("anchor", pa.list_(pa.int64())), ("text_key", pa.list_(pa.int64())),
@@ -93,8 +99,10 @@ def _shared_groups(anchor: np.ndarray, text: np.ndarray, told: np.ndarray) -> tu
 def _gathered(batches, window: int, buckets: int):
     """The anchors of a task's texts, packed by bucket. An anchor that two texts of the task share is
     known to be shared: its places go to bucket -1 and one of them to the others, for their sake, so
-    an anchor sends a task's places once whatever number of texts holds it."""
+    an anchor sends a task's places once whatever number of texts holds it. Copies of a text are
+    gathered once a task."""
     known = WordHashes()
+    gathered: set[bytes] = set()
     held: list[tuple[np.ndarray, int, np.ndarray]] = []
     n = 0
 
@@ -128,6 +136,9 @@ def _gathered(batches, window: int, buckets: int):
 
     for batch in batches:
         for text in utf8(batch.column("text")):
+            if not text or (digest := xxhash.xxh3_128_digest(text)) in gathered:
+                continue
+            gathered.add(digest)
             at, grams = window_anchors(words_of(text), window, known)
             if not len(at):
                 continue
@@ -152,8 +163,10 @@ def _met(batches):
             text, place = text[use], place[use]
         if not len(text):
             continue
-        by = np.argsort(text, kind="stable")
+        by = np.lexsort((place, text))
         text, place = text[by], place[by]
+        new = np.append(True, (text[1:] != text[:-1]) | (place[1:] != place[:-1]))
+        text, place = text[new], place[new]
         cuts = np.append(np.flatnonzero(np.append(True, text[1:] != text[:-1])), len(text))
         yield pa.RecordBatch.from_arrays([pa.array(text[cuts[:-1]]), _lists(place, cuts)], names=["text_key", "places"])
 
@@ -168,8 +181,8 @@ def _passages(batches, window: int):
             words = words_of(text)
             at, grams = window_anchors(words, window, known)
             wanted = np.zeros(len(grams), dtype=bool)
-            for part in places:
-                wanted[part.values.to_numpy()] = True
+            own = places.values.to_numpy()
+            wanted[own[own < len(grams)]] = True
             heads = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
             tails = np.append(heads[1:], len(at)) + window - 1
             use = wanted[at[heads]]
@@ -263,10 +276,10 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
     # a row without id is neither earlier nor later than another
     listed = materialize(rows.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
-        lambda b: _rows(b, window), "doc_id long, text_hash long, text_key long, n_words long, sha256 string"), "rows")
-    firsts = (listed.where("text_key is not null and doc_id is not null").groupBy("text_key")
+        lambda b: _rows(b, window), "doc_id long, text_hash long, text_key long, text_check long, n_words long, sha256 string"), "rows")
+    firsts = (listed.where("text_key is not null and doc_id is not null").groupBy("text_key", "text_check")
               .agg(F.min("doc_id").alias("first_doc")))
-    documents = listed.join(firsts, "text_key", "left")
+    documents = listed.join(firsts, ["text_key", "text_check"], "left")
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     sent = rows.where("doc_id is not null").select("text").mapInArrow(
         lambda b: _gathered(b, window, buckets), "bucket int, anchor array<long>, text_key array<long>, place array<int>, shared array<boolean>")
@@ -274,9 +287,11 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
     spread = F.when(F.col("bucket") < 0, F.xxhash64(F.monotonically_increasing_id())).otherwise(F.col("bucket").cast("long"))
     met = (sent.withColumn("dealt", spread).repartition("dealt").sortWithinPartitions("bucket")
            .mapInArrow(_met, "text_key long, places array<int>"))
-    places = met.groupBy("text_key").agg(F.collect_list("places").alias("places"))
+    # a place of a text is listed once, whatever number of tasks has met copies of the text: no list outgrows its text
+    places = (met.select("text_key", F.explode("places").alias("place")).distinct()
+              .groupBy("text_key").agg(F.collect_list("place").alias("places")))
     wanted = materialize(places.join(firsts, "text_key").select(F.col("first_doc").alias("doc_id"), "text_key", "places"), "places")
-    texts = materialize(rows.join(wanted, "doc_id").mapInArrow(_own_text, "doc_id long, text_key long, text string, places array<array<int>>"), "texts")
+    texts = materialize(rows.join(wanted, "doc_id").mapInArrow(_own_text, "doc_id long, text_key long, text string, places array<int>"), "texts")
     passages = materialize(texts.mapInArrow(lambda b: _passages(b, window), _PASSAGE_SCHEMA), "passages")
     crowded = materialize(passages.groupBy("anchor").agg(F.approx_count_distinct("passage").alias("n"))
                           .where(F.col("n") > ANCHOR_PASSAGES).select("anchor"), "crowded")

@@ -175,3 +175,31 @@ def test_held_out_recall_of_toxicity(spark):
 def test_queries_keep_their_columns(spark, sf):
     assert QUERIES["op1_language_id"](spark, sf).columns == ["doc_id", "held_out", "lang_pred", "score"]
     assert QUERIES["op3_mixing"](spark, sf).columns == ["doc_id", "size", "source_size", "target", "taken"]
+
+
+# ----------------------------------------------------------------------------- substring dedup
+def test_places_of_a_hot_text_do_not_grow_with_its_copies(spark, monkeypatch):
+    """A 400-word text and a near copy of it: the places listed for a text stay below its words, however many copies."""
+    from martlens.llm import substring
+    base = [f"w{k}" for k in range(400)]
+    near = base[:200] + ["other"] + base[200:]
+    sizes = []
+    keep = substring.materialize
+    monkeypatch.setattr(substring, "materialize", lambda df, label: (sizes.append(keep(df, label)), sizes[-1])[1])
+    for copies in (1, 300):
+        rows = [(k, " ".join(base)) for k in range(copies)] + [(10_000, " ".join(near))]
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(40)
+        sizes.clear()
+        got = {r["doc_id"]: r["n_removed"] for r in substring.deduplicate(docs).collect()}
+        assert got == {0: 0, **{k: 400 for k in range(1, copies)}, 10_000: 400}
+        listed = next(df for df in sizes if df.columns == ["doc_id", "text_key", "places"])
+        assert all(len(r["places"]) <= 401 and len(set(r["places"])) == len(r["places"]) for r in listed.collect())
+
+
+def test_texts_that_share_a_key_are_not_copies(spark, monkeypatch):
+    """Two texts under one 64-bit key: the second is not emptied, as their checks differ."""
+    from martlens.llm import substring
+    monkeypatch.setattr(substring, "_text_key", lambda text: 5)
+    batch = spark.createDataFrame([(1, 1, " ".join(f"a{k}" for k in range(20))), (2, 2, " ".join(f"b{k}" for k in range(20)))], "doc_id long, text_hash long, text string").toArrow()
+    (out,) = substring._rows(batch.combine_chunks().to_batches(), 13)
+    assert out.column("text_key").to_pylist() == [5, 5] and len(set(out.column("text_check").to_pylist())) == 2
