@@ -8,6 +8,7 @@ carry no constraints, so these are how the declared ones are enforced.
 from __future__ import annotations
 
 import dataclasses
+import functools
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -54,13 +55,6 @@ class ForeignKey:
     parent: str
     parent_col: str
 
-    def run(self, t: RetailTables) -> DataFrame:
-        pk = schemas.PRIMARY_KEYS[self.tbl]
-        child = t[self.tbl].select(pk, self.col).filter(F.col(self.col).isNotNull())
-        parent = t[self.parent].select(F.col(self.parent_col).alias(self.col)).distinct()
-        bad = child.join(parent, self.col, "left_anti")  # a NULL reference is legal
-        return _out(bad, "foreign_key", self.tbl, self.col, F.col(pk), F.col(self.col))
-
 
 @dataclasses.dataclass(frozen=True)
 class NotNull:
@@ -103,9 +97,30 @@ def _row_rules(t: RetailTables, tbl: str, rules: list) -> DataFrame:
             .select(*[F.col(f"hit.{c}").alias(c) for c in OUT]))
 
 
+def _foreign_keys(t: RetailTables, rules: list[ForeignKey]) -> DataFrame:
+    """All foreign keys in one join: each child is read once and gives a reference a key, each parent is read
+    once and gives its keys; a NULL reference is legal."""
+    refs, keys = [], []
+    for tbl in dict.fromkeys(r.tbl for r in rules):
+        own = [F.when(F.col(r.col).isNotNull(), F.struct(F.lit(r.col).alias("col"), F.lit(r.parent).alias("parent"), F.lit(r.parent_col).alias("parent_col"),
+                                                         F.col(r.col).cast("string").alias("ref"))) for r in rules if r.tbl == tbl]
+        refs.append(t[tbl].select(F.lit(tbl).alias("tbl"), F.col(schemas.PRIMARY_KEYS[tbl]).cast("string").alias("row_key"),
+                                  F.explode(F.array_compact(F.array(*own))).alias("r")).select("tbl", "row_key", "r.*"))
+    for parent, col in dict.fromkeys((r.parent, r.parent_col) for r in rules):
+        keys.append(t[parent].select(F.lit(parent).alias("parent"), F.lit(col).alias("parent_col"), F.col(col).cast("string").alias("ref")))
+    known = functools.reduce(DataFrame.unionByName, keys).distinct()
+    bad = functools.reduce(DataFrame.unionByName, refs).join(known, ["parent", "parent_col", "ref"], "left_anti")
+    return bad.select(F.lit("foreign_key").alias("rule"), "tbl", "col", "row_key", F.col("ref").alias("value"))
+
+
 def validate(t: RetailTables, rules) -> DataFrame:
     parts, by_table = [], {}
+    foreign = [r for r in rules if isinstance(r, ForeignKey)]
+    if foreign:
+        parts.append(_foreign_keys(t, foreign))
     for r in rules:
+        if r in foreign:
+            continue
         if hasattr(r, "hit"):
             by_table.setdefault(r.tbl, []).append(r)
         else:

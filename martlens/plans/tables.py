@@ -23,6 +23,8 @@ class RetailTables:
         self.spark = spark
         self._builders = dict(builders)
         self._cache: dict[str, DataFrame] = {}
+        #: Folders of the tables that are stored as they are read: a stream may read them directly.
+        self.paths: dict[str, str] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._cache:
@@ -47,6 +49,7 @@ class RetailTables:
         out = RetailTables(self.spark, self._builders)
         out._cache = dict(self._cache)
         out._cache.update(dfs)
+        out.paths = {k: v for k, v in self.paths.items() if k not in dfs}
         for k, v in dfs.items():
             out._builders[k] = (lambda v=v: v)
         return out
@@ -76,8 +79,10 @@ class RetailTables:
     @staticmethod
     def from_lake(spark: SparkSession, root: str) -> "RetailTables":
         """Read tables written by ``sources.lake.write_lake`` with fixed schemas."""
-        from martlens.sources.lake import read_table
-        return RetailTables(spark, {n: (lambda n=n: read_table(spark, root, n)) for n in RETAIL})
+        from martlens.sources.lake import read_table, table_path
+        t = RetailTables(spark, {n: (lambda n=n: read_table(spark, root, n)) for n in RETAIL})
+        t.paths = {n: table_path(root, n) for n in RETAIL}
+        return t
 
     @staticmethod
     def from_catalog(spark: SparkSession, database: str) -> "RetailTables":

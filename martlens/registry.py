@@ -30,7 +30,7 @@ def _extra_modules():
     for name in ("martlens.operators.views_ops", "martlens.operators.profiling",
                  "martlens.operators.cleaning", "martlens.operators.rules",
                  "martlens.operators.quality", "martlens.operators.brief", "martlens.operators.brief_rollup",
-                 "martlens.operators.alerts", "martlens.operators.dq_job", "martlens.streaming.dq_monitor"):
+                 "martlens.operators.alerts", "martlens.operators.dq_job", "martlens.streaming.dq_monitor", "martlens.streaming.notify"):
         try:
             mod = importlib.import_module(name)
         except ModuleNotFoundError as e:

@@ -1,11 +1,11 @@
 """Numbered commits beside data: what readers see changes at once, and two writers never take one number.
 
 A root has a ``_versions`` folder with one small JSON file a commit, numbered from 1. A writer first writes its
-data into a folder of its own, under a name nobody else has, and then creates the next number's file *only
-if it is absent* (the file system's exclusive create). If another writer has it already, the commit is
+data into a folder of its own, under a name nobody else has, and then puts the next number's file in place, whole and
+*only if it is absent* (a rename or link that does not replace). If another writer has it already, the commit is
 computed again from what that writer left and tries the next number, so high-water marks (ids) that one
-commit hands to the next never overlap. A file that is still empty or cut short was not committed: readers
-skip it, and its number is not used again.
+commit hands to the next never overlap. A file that is empty or cut short (a store without such a rename) was not
+committed: readers skip it, and its number is not used again.
 
 Readers resolve the highest version once and read its data folder; a replace adds a folder and a version and
 deletes nothing, so a reader that is open, and a replace that is killed at any place, both see the old
@@ -36,27 +36,31 @@ def _fs(spark: SparkSession, path: str):
 
 
 def create_if_absent(spark: SparkSession, path: str, text: str) -> bool:
-    """Write a small file that was not there; False if it was. Of several callers, one gets True."""
+    """Put a small file in place that was not there; False if it was. Of several callers, one gets True.
+
+    The text is written under a hidden name first and gets its own name when it is whole, so a reader, and a
+    stream over the folder, never see a part of it."""
     fs, p = _fs(spark, path)
-    fs.mkdirs(p.getParent())
-    data = bytearray(text.encode())
     jvm = spark._jvm
+    hidden = jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{uuid.uuid4().hex}")
+    fs.mkdirs(p.getParent())
+    out = fs.create(hidden, False)
+    out.write(bytearray(text.encode()))
+    out.close()
     try:
-        if fs.getScheme() == "file":  # Hadoop's local file system looks first and creates then, in two steps
-            files = jvm.java.nio.file.Files
-            options = spark.sparkContext._gateway.new_array(jvm.java.nio.file.OpenOption, 2)
-            options[0], options[1] = jvm.java.nio.file.StandardOpenOption.CREATE_NEW, jvm.java.nio.file.StandardOpenOption.WRITE
-            files.write(jvm.java.io.File(fs.makeQualified(p).toUri().getPath()).toPath(), data, options)
-        else:
-            out = fs.create(p, False)
-            out.write(data)
-            out.close()
-        return True
-    except Exception as e:
-        cause = getattr(e, "java_exception", None)
-        if cause is not None and "FileAlreadyExists" in cause.getClass().getName():
-            return False
-        raise
+        if fs.getScheme() != "file":  # a rename takes no name that is taken
+            return fs.rename(hidden, p)
+        local = [jvm.java.io.File(fs.makeQualified(x).toUri().getPath()).toPath() for x in (p, hidden)]
+        try:  # a local rename replaces; a link does not
+            jvm.java.nio.file.Files.createLink(*local)
+            return True
+        except Exception as e:
+            cause = getattr(e, "java_exception", None)
+            if cause is not None and "FileAlreadyExists" in cause.getClass().getName():
+                return False
+            raise
+    finally:
+        fs.delete(hidden, False)
 
 
 def _read(spark: SparkSession, path) -> str:

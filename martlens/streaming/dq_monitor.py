@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from martlens import schemas
 from martlens.functions.exprs import lit_ts
+from martlens.operators.dq_job import HEALED
 from martlens.operators.quality import BY_LETTER, notifications, summarize
 from martlens.params import Params
 from martlens.plans.tables import RetailTables
@@ -71,6 +72,27 @@ def start_dq_monitor(spark: SparkSession, table: str, source_path: str, sink_roo
     return w.start()
 
 
+def start_run_monitor(spark: SparkSession, job_root: str, sink_root: str, checkpoint: str, p: Params,
+                      available_now: bool = True, runs_per_trigger: int = 1):
+    """Row rules over the tables of each published run, as the nightly job left them: the stream reads the job's
+    commits (``sources.versions``), and each commit names the folder whose files are checked where they are.
+    A batch writes partitions of its own, so a replayed one writes the same again."""
+    stream = (spark.readStream.schema("run_id string, data string").option("maxFilesPerTrigger", runs_per_trigger)
+              .json(f"{job_root}/_versions"))
+    detected_at = dt.datetime.combine(p.dq_as_of, dt.time())
+    spark.createDataFrame([], ISSUES).write.mode("append").partitionBy("batch_id").parquet(f"{sink_root}/issues")
+
+    def per_batch(runs: DataFrame, batch_id: int) -> None:
+        found = [batch_issues(spark, table, lake.read_table(spark, f"{job_root}/{r['data']}", table), p, batch_id, detected_at)
+                 for r in runs.where("data is not null").collect() for table in HEALED]  # a few runs
+        if found:
+            (functools.reduce(DataFrame.unionByName, found).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("batch_id").parquet(f"{sink_root}/issues"))
+
+    w = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+    return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")).start()
+
+
 def monitor_issues(spark: SparkSession, sink_root: str) -> DataFrame:
     """The issues of every batch, with samples and details; the schema is stated for a run that found nothing."""
     return spark.read.schema(ISSUES).parquet(f"{sink_root}/issues")
@@ -86,14 +108,15 @@ def monitor_totals(spark: SparkSession, sink_root: str) -> DataFrame:
 def stream_dq_monitor(t: RetailTables, p: Params) -> DataFrame:
     """Run a monitor over each of the six tables that have row rules and return the summed issue counts.
 
-    A stream reads files: the columns that the rules need are written as its source and removed again
-    when the stream has read them; the sinks stay."""
+    A stored table is streamed from its own files. A table that is derived has none: the columns that the
+    rules need are written as the stream's source and removed again when the stream has read them; the sinks stay."""
     spark = t.spark
     root = work_dir(spark, f"stream-dq-{uuid.uuid4().hex[:12]}")
     streams = []
     for table, cols in RULE_COLUMNS.items():
-        t[table].select(*cols).write.parquet(f"{root}/source/{table}")
-        streams.append(start_dq_monitor(spark, table, f"{root}/source/{table}", f"{root}/sink/{table}",
+        if table not in t.paths:
+            t[table].select(*cols).write.parquet(f"{root}/source/{table}")
+        streams.append(start_dq_monitor(spark, table, t.paths.get(table, f"{root}/source/{table}"), f"{root}/sink/{table}",
                                         f"{root}/checkpoint/{table}", p))
     for q in streams:
         q.awaitTermination()
