@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martlens.functions.exprs import dbl, lit_date, ratio, rnd
 from martlens.operators.analytics.common import first_two_orders, orders_per_customer
+from martlens.operators.cleaning import heal_ghost_customer, heal_orphan_orders
 from martlens.params import Params
 from martlens.plans.tables import RetailTables
 from martlens.plans.views import base_customers
@@ -17,8 +20,16 @@ def _customer_orders(t: RetailTables) -> DataFrame:
     return base_customers(t).join(orders_per_customer(t), "customer_id", "left")
 
 
+def people(t: RetailTables, p: Params) -> RetailTables:
+    """The tables as the customer questions read them: without the ghost customer if ``exclude_ghost`` asks for it."""
+    if not p.exclude_ghost:
+        return t
+    ghost = F.col("customer_id").eqNullSafe(F.lit(p.ghost_customer_id).cast("bigint"))
+    return t.replace(customers=t.customers.where(~ghost))
+
+
 def q04_country_aov(t: RetailTables, p: Params) -> DataFrame:
-    per_country = (_customer_orders(t).filter(F.col("country").isNotNull())
+    per_country = (_customer_orders(people(t, p)).filter(F.col("country").isNotNull())
                    .groupBy("country")
                    .agg(F.sum("spend").alias("spend"),
                         F.coalesce(F.sum("n_orders"), F.lit(0)).alias("n_orders")))
@@ -27,6 +38,7 @@ def q04_country_aov(t: RetailTables, p: Params) -> DataFrame:
 
 
 def q05_signups_by_month(t: RetailTables, p: Params) -> DataFrame:
+    t = people(t, p)
     m = F.trunc("signup_date", "MM")
     return (t.customers.groupBy(m.alias("m")).agg(F.count("customer_id").alias("total_signup_customers"))
             .orderBy(F.col("m").asc_nulls_last())
@@ -34,7 +46,7 @@ def q05_signups_by_month(t: RetailTables, p: Params) -> DataFrame:
 
 
 def q06_customer_ltv(t: RetailTables, p: Params) -> DataFrame:
-    return (_customer_orders(t)
+    return (_customer_orders(people(t, p))
             .select("customer_id", dbl(F.coalesce("spend", F.lit(0))).alias("customer_lifetime_value"))
             .orderBy("customer_id"))
 
@@ -103,7 +115,7 @@ def q21_cohort_compare(t: RetailTables, p: Params) -> DataFrame:
 
 
 def q24_rfm(t: RetailTables, p: Params) -> DataFrame:
-    c = _customer_orders(t).select(
+    c = _customer_orders(people(t, p)).select(
         "customer_id",
         F.datediff(lit_date(p.q24_ref), F.col("last_order_date")).alias("recency_days"),
         F.coalesce("n_orders", F.lit(0)).alias("frequency"),
@@ -138,3 +150,14 @@ def q26_by_cohort(t: RetailTables, p: Params) -> DataFrame:
             .orderBy("m")
             .select(F.date_format("m", "yyyy-MM").alias("acquisition_month"), "acquired_customers",
                     "customers_30_days", "customers_60_days", "customers_90_days"))
+
+
+def _after_heal(question):
+    """A question on healed customers and orders, with the ghost left out again."""
+    def op(t: RetailTables, p: Params) -> DataFrame:
+        healed = t.replace(customers=heal_ghost_customer(t, p), orders=heal_orphan_orders(t, p))
+        return question(healed, dataclasses.replace(p, exclude_ghost=True))
+    return op
+
+
+OPS = {f"no_ghost_{q.__name__}": _after_heal(q) for q in (q04_country_aov, q05_signups_by_month, q06_customer_ltv, q24_rfm)}

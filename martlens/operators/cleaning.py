@@ -288,7 +288,6 @@ def fx_manual_issue(spark, check_name: str, severity: str, details: str, detecte
 
 
 OPS.update({
-    "alter_add_column": lambda t, p: alter_add_column(t.customers, "is_active", False, "boolean"),
     "fix_verified_flag_count": fix_verified_flag_count,
     "fix_default_subcategory_count": fix_default_subcategory_count,
     "fix_fill_total_amount_count": fix_fill_total_amount_count,

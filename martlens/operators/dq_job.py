@@ -169,5 +169,18 @@ def fx_manual_issue_appended(t: RetailTables, p: Params) -> DataFrame:
     return _append_by_hand(t, "dq_issues", row)
 
 
+def alter_add_column_stored(t: RetailTables, p: Params) -> DataFrame:
+    """Customers as a catalog table that gets a column with a stored default; no file is written for it."""
+    database, root = f"martlens_alter_{uuid.uuid4().hex[:12]}", _new_folder(t, "alter")
+    t.spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/db'")
+    try:
+        lake.conform(t.customers, "customers").write.format("parquet").option("path", f"{root}/customers").saveAsTable(f"{database}.customers")
+        lake.add_column(t.spark, f"{database}.customers", "is_active", "boolean", False)
+        return t.spark.table(f"{database}.customers")
+    finally:  # the files are not the catalog's: the frame reads them on
+        t.spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
 OPS = {"fn_run_checks": fn_run_checks, "snk_snapshot": snk_snapshot, "snk_append": snk_append,
-       "snk_wipe_replace": snk_wipe_replace, "heal_manual_audit": heal_manual_audit_appended, "fx_manual_issue": fx_manual_issue_appended}
+       "snk_wipe_replace": snk_wipe_replace, "heal_manual_audit": heal_manual_audit_appended, "fx_manual_issue": fx_manual_issue_appended,
+       "alter_add_column": alter_add_column_stored}

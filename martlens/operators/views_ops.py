@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from martlens.operators.cleaning import fix_is_active
 from martlens.plans import views
 
 SRC_TABLES = ("customers", "products", "orders", "order_items", "inventory", "customer_reviews",
@@ -16,7 +17,7 @@ OPS.update({
     "view_base_orders": lambda t, p: views.base_orders(t),
     "view_base_order_items": lambda t, p: views.base_order_items(t),
     "view_base_products": lambda t, p: views.base_products(t),
-    "view_base_customers": lambda t, p: views.base_customers(t, with_active=True),
+    "view_base_customers": lambda t, p: views.base_customers(t.replace(customers=fix_is_active(t)), with_active=True),
     "view_base_reviews": lambda t, p: views.base_reviews(t),
     "view_base_inventory": lambda t, p: views.base_inventory(t),
 })

@@ -15,6 +15,8 @@ D = dt.date
 
 @dataclasses.dataclass(frozen=True)
 class Params:
+    # leave the heal's ghost customer out of country AOV, signups, LTV and RFM (q04, q05, q06, q24)
+    exclude_ghost: bool = False
     # q01 revenue range [start, end)
     q01_start: dt.date = D(2024, 1, 1)
     q01_end: dt.date = D(2025, 1, 1)

@@ -30,13 +30,8 @@ def base_products(t: RetailTables) -> DataFrame:
 
 def base_customers(t: RetailTables, with_active: bool = False) -> DataFrame:
     cols = ["customer_id", "signup_date", "country", "customer_tier"]
-    cu = t.customers
-    if not with_active:
-        return cu.select(*cols)
-    if "is_active" not in cu.columns:
-        from martlens.operators.cleaning import fix_is_active
-        cu = fix_is_active(t)
-    return cu.select(*cols, "is_active")
+    # is_active is a stored column, which the table has once cleaning.fix_is_active is applied
+    return t.customers.select(*cols, *(["is_active"] if with_active else []))
 
 
 def base_reviews(t: RetailTables) -> DataFrame:

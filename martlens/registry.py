@@ -27,10 +27,11 @@ def operators() -> dict[str, Op]:
 def _extra_modules():
     import importlib
     mods = []
-    for name in ("martlens.operators.views_ops", "martlens.operators.profiling",
+    for name in ("martlens.operators.analytics.customers", "martlens.operators.views_ops", "martlens.operators.profiling",
                  "martlens.operators.cleaning", "martlens.operators.rules",
                  "martlens.operators.quality", "martlens.operators.brief", "martlens.operators.brief_rollup",
-                 "martlens.operators.alerts", "martlens.operators.dq_job", "martlens.streaming.dq_monitor", "martlens.streaming.notify"):
+                 "martlens.operators.alerts", "martlens.operators.dq_job", "martlens.streaming.dq_monitor", "martlens.streaming.notify",
+                 "martlens.sources.checked"):
         try:
             mod = importlib.import_module(name)
         except ModuleNotFoundError as e:

@@ -6,6 +6,9 @@ pointer); nothing here relies on machine-local temporary storage.
 
 from __future__ import annotations
 
+import datetime as dt
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -109,3 +112,33 @@ def write_catalog(tables, database: str, location: str, n_buckets: int, names=No
 
 def read_catalog(spark: SparkSession, database: str, name: str) -> DataFrame:
     return spark.table(f"{database}.{name}")
+
+
+# --------------------------------------------------------------------------- stored column defaults
+def sql_literal(value) -> str:
+    """A constant as SQL text."""
+    if value is None or isinstance(value, bool):
+        return "NULL" if value is None else str(value).lower()
+    if isinstance(value, dt.date):
+        return f"{'TIMESTAMP_NTZ' if isinstance(value, dt.datetime) else 'DATE'} '{value}'"
+    if isinstance(value, (int, float, Decimal)):
+        return str(value)
+    escaped = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def add_column(spark: SparkSession, table: str, name: str, dtype: str, default=None) -> None:
+    """ALTER TABLE ADD COLUMN [DEFAULT] on a catalog table: the default is kept in the table's metadata. Files that
+    are there already are not rewritten and read with it; later inserts that leave the column out get it."""
+    stored = "" if default is None else f" DEFAULT {sql_literal(default)}"
+    spark.sql(f"ALTER TABLE {table} ADD COLUMNS (`{name}` {dtype}{stored})")
+
+
+def set_default(spark: SparkSession, table: str, name: str, default) -> None:
+    """ALTER COLUMN SET DEFAULT: for inserts from now on; rows that are there stay as they are."""
+    spark.sql(f"ALTER TABLE {table} ALTER COLUMN `{name}` SET DEFAULT {sql_literal(default)}")
+
+
+def insert(df: DataFrame, table: str) -> None:
+    """INSERT BY NAME: columns that ``df`` leaves out get their stored defaults; a NULL that it gives stays NULL."""
+    df.sparkSession.sql("INSERT INTO " + table + " BY NAME SELECT * FROM {rows}", rows=df)

@@ -134,7 +134,11 @@ def read_table(spark: SparkSession, root: str, version: int | None = None) -> Da
     found = current(spark, root) if version is None else entry(spark, root, version)
     if found is None:
         raise AnalysisException(f"{root} has no version{'' if version is None else f' {version}'}")
-    return spark.read.schema(StructType.fromJson(json.loads(found["schema"]))).parquet(f"{root}/{found['data']}")
+    return spark.read.schema(schema_of(found)).parquet(f"{root}/{found['data']}")
+
+
+def schema_of(found: dict) -> StructType:
+    return StructType.fromJson(json.loads(found["schema"]))
 
 
 def expire(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
