@@ -31,7 +31,7 @@ def _extra_modules():
                  "martlens.operators.cleaning", "martlens.operators.rules",
                  "martlens.operators.quality", "martlens.operators.brief", "martlens.operators.brief_rollup",
                  "martlens.operators.alerts", "martlens.operators.dq_job", "martlens.streaming.dq_monitor", "martlens.streaming.notify",
-                 "martlens.sources.checked"):
+                 "martlens.sources.checked", "martlens.operators.quality_state"):
         try:
             mod = importlib.import_module(name)
         except ModuleNotFoundError as e:
