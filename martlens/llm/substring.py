@@ -20,6 +20,8 @@ SHARD_WORDS = 250_000
 ANCHOR_PASSAGES = 20_000
 #: Anchors that a task gathers before it sends them on.
 GATHER = 1_500_000
+#: Places of one packed row of anchors that a task knows to be shared.
+PACKED = 1 << 15
 _PASSAGE = ["doc_id", "text_key", "place", "anchor", "passage"]
 _PASSAGE_SCHEMA = "doc_id long, text_key long, place long, anchor long, passage binary"
 
@@ -117,7 +119,10 @@ def _gathered(batches, window: int, buckets: int):
         head[order[heads]] = True
         if known_here.any():
             at = np.flatnonzero(known_here)
-            yield -1, anchor[at], text[at], place[at], np.ones(len(at), dtype=bool)
+            at = at[np.lexsort((place[at], text[at]))]
+            for i in range(0, len(at), PACKED):  # dealt on, a part here and a part there
+                own = at[i:i + PACKED]
+                yield -1, anchor[own], text[own], place[own], np.ones(len(own), dtype=bool)
         send = np.flatnonzero(~known_here | head)
         bucket = ((anchor[send] >> 20) % buckets).astype(np.int32)
         by = np.argsort(bucket, kind="stable")
@@ -171,6 +176,44 @@ def _met(batches):
         yield pa.RecordBatch.from_arrays([pa.array(text[cuts[:-1]]), _lists(place, cuts)], names=["text_key", "places"])
 
 
+def _united(batches):
+    """Sorted by text: its places, each once. What is held of a text stays below its words and one more list,
+    whatever number of tasks has met copies of it."""
+    key, held, n = None, [], 0
+    out: tuple[list, list] = ([], [])
+
+    def settle():
+        return np.unique(np.concatenate(held))
+
+    def packed():
+        cuts = np.cumsum([0, *map(len, out[1])])
+        return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), _lists(np.concatenate(out[1]), cuts)], names=["text_key", "places"])
+
+    size = 0
+    for batch in batches:
+        flat, ends = list_arrays(batch.column("places"))
+        starts = np.append(0, ends)[:-1]
+        for own, i, j in zip(batch.column("text_key").to_pylist(), starts.tolist(), ends.tolist()):
+            if own != key:
+                if key is not None:
+                    out[0].append(key)
+                    out[1].append(settle())
+                    size += len(out[1][-1])
+                    if size > PACKED:
+                        yield packed()
+                        out, size = ([], []), 0
+                key, held, n = own, [], 0
+            held.append(flat[i:j])
+            n += j - i
+            if len(held) > 64 and n > 2 * len(held[0]):
+                held = [settle()]
+                n = len(held[0])
+    if key is not None:
+        out[0].append(key)
+        out[1].append(settle())
+        yield packed()
+
+
 def _passages(batches, window: int):
     """The windows of each shared anchor as one passage of words, for one document a text."""
     known = WordHashes()
@@ -288,8 +331,7 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
     met = (sent.withColumn("dealt", spread).repartition("dealt").sortWithinPartitions("bucket")
            .mapInArrow(_met, "text_key long, places array<int>"))
     # a place of a text is listed once, whatever number of tasks has met copies of the text: no list outgrows its text
-    places = (met.select("text_key", F.explode("places").alias("place")).distinct()
-              .groupBy("text_key").agg(F.collect_list("place").alias("places")))
+    places = met.repartition("text_key").sortWithinPartitions("text_key").mapInArrow(_united, "text_key long, places array<int>")
     wanted = materialize(places.join(firsts, "text_key").select(F.col("first_doc").alias("doc_id"), "text_key", "places"), "places")
     texts = materialize(rows.join(wanted, "doc_id").mapInArrow(_own_text, "doc_id long, text_key long, text string, places array<int>"), "texts")
     passages = materialize(texts.mapInArrow(lambda b: _passages(b, window), _PASSAGE_SCHEMA), "passages")

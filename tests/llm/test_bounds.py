@@ -203,3 +203,16 @@ def test_texts_that_share_a_key_are_not_copies(spark, monkeypatch):
     batch = spark.createDataFrame([(1, 1, " ".join(f"a{k}" for k in range(20))), (2, 2, " ".join(f"b{k}" for k in range(20)))], "doc_id long, text_hash long, text string").toArrow()
     (out,) = substring._rows(batch.combine_chunks().to_batches(), 13)
     assert out.column("text_key").to_pylist() == [5, 5] and len(set(out.column("text_check").to_pylist())) == 2
+
+
+def test_places_are_united_text_by_text():
+    import pyarrow as pa
+
+    from martlens.llm import substring
+    rng = np.random.default_rng(1)
+    rows = sorted(((int(k), rng.integers(0, 50, rng.integers(1, 40)).astype(np.int32)) for k in rng.integers(0, 6, 3000)), key=lambda r: r[0])
+    batches = [pa.RecordBatch.from_arrays([pa.array([k for k, _ in part], pa.int64()), pa.array([p for _, p in part], pa.list_(pa.int32()))], names=["text_key", "places"])
+               for part in (rows[i:i + 70] for i in range(0, len(rows), 70))]
+    got = {k: p for b in substring._united(batches) for k, p in zip(b.column("text_key").to_pylist(), b.column("places").to_pylist())}
+    assert got == {k: sorted({int(x) for key, p in rows if key == k for x in p}) for k in {k for k, _ in rows}}
+    assert list(substring._united([])) == []
