@@ -3,6 +3,7 @@ the queries whose probes find too few rows."""
 
 from __future__ import annotations
 
+import functools
 import math
 
 import numpy as np
@@ -26,6 +27,9 @@ MAX_PROBES = 4096
 #: A query whose probes visit a smaller share of its own nearest rows in the sample is compared with all rows.
 SEEN = 0.5
 STEPS = np.arange(-2, 3)
+#: The exact search: bytes of a broadcast block of queries, and rows and queries whose products a task holds at a time.
+QUERY_BYTES = 1 << 26
+SCAN_ROWS, SCAN_QUERIES = 4096, 512
 SEED = 977
 _NEAR = pa.schema([("query_id", pa.int64()), ("near", pa.list_(pa.struct([("score", pa.float64()), ("vec_id", pa.int64())])))])
 
@@ -117,7 +121,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
     distance in double precision; these are merged across buckets and tables. A query that found
     fewer than k rows, or whose probes would visit less than SEEN of its own nearest rows in the
     sample, is compared with every row, and so are all queries if no number of probes within the
-    bounds reaches RECALL on the sample.
+    bounds reaches RECALL on the sample. That search is exact and scans the rows once a block of queries, without a
+    shuffle of rows; its work is such queries times rows.
 
     Vectors that are null, empty, zero or hold null or non-finite components, and rows without id,
     take no part. Vectors of each length are searched by themselves, with an index of their own. A
@@ -144,7 +149,7 @@ def _of_width(rows: DataFrame, asked: DataFrame, n: int, dim: int, k: int) -> Da
     drawn = rows.select("vec").orderBy(F.xxhash64(F.lit(SEED), "vec_id"), "vec_id").limit(FIT_ROWS).collect()
     index = Index(np.array([r["vec"] for r in drawn]), n, k)
     if not index.enough:
-        return _merge(_exact(rows, n, materialize(asked, "asked"), k, dim), k)
+        return _merge(_exact(rows, asked, k, dim), k)
     shared = spark.sparkContext.broadcast(index)
     vec = "vec array<double>"
     stored = rows.select("vec_id", "vec").mapInArrow(
@@ -167,24 +172,76 @@ def _of_width(rows: DataFrame, asked: DataFrame, n: int, dim: int, k: int) -> Da
     if short.isEmpty():
         return found
     whole = found.join(short.select(F.col("vec_id").alias("query_id")), "query_id", "left_anti")
-    return whole.unionByName(_merge(_exact(rows, n, short, k, dim), k))
+    return whole.unionByName(_merge(_exact(rows, short, k, dim), k))
 
 
-def _exact(rows: DataFrame, n: int, asked: DataFrame, k: int, dim: int) -> DataFrame:
-    """Every query's k nearest in every block of rows; each cell is a block of queries and one of rows."""
-    def blocks(count: int) -> int:
-        return max(1, math.ceil(count / BLOCK_ROWS))
-
-    def own(count: int) -> Column:
-        return F.pmod(F.xxhash64(F.lit(5), "vec_id", "vec"), F.lit(blocks(count)))
+def _exact(rows: DataFrame, asked: DataFrame, k: int, dim: int) -> DataFrame:
+    """Every query's k nearest of all rows. Queries go to the tasks in broadcast blocks of QUERY_BYTES, and each block
+    is one scan of the rows where they lie: a row is never sent anywhere, and a task returns k rows a query."""
+    spark = rows.sparkSession
+    size, parts, held = max(1, QUERY_BYTES // (8 * dim)), [], []
+
+    def scan() -> DataFrame:
+        shared = spark.sparkContext.broadcast((np.array([r["vec_id"] for r in held], dtype=np.int64), np.array([r["vec"] for r in held], dtype=np.float64)))
+        return materialize(rows.select("vec_id", "vec").mapInArrow(lambda batches: batches_of(_scanned(batches, *shared.value, k, dim), _NEAR),
+                                                                   "query_id long, near array<struct<score:double,vec_id:long>>"), "scanned")
+
+    for row in asked.select("vec_id", "vec").toLocalIterator():
+        held.append(row)
+        if len(held) == size:
+            parts.append(scan())
+            held = []
+    if held:
+        parts.append(scan())
+    return functools.reduce(DataFrame.unionByName, parts)
 
-    def every(count: int) -> Column:
-        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks(count) - 1).cast("long")))
 
-    many = asked.count()
-    stored = rows.select(every(many).alias("table"), own(n).alias("bucket"), F.lit(0).alias("block"), F.lit(1).alias("side"), "vec_id", "vec")
-    visits = asked.select(own(many).alias("table"), every(n).alias("bucket"), F.lit(0).alias("block"), F.lit(0).alias("side"), "vec_id", "vec")
-    return _met(stored.unionByName(visits), k, dim)
+def _scanned(batches, ids: np.ndarray, queries: np.ndarray, k: int, dim: int):
+    """One task's k nearest rows of each query. A block of products tells which rows can be among them, but for rounding;
+    these are compared exactly."""
+    square = (queries ** 2).sum(axis=1)
+    # the k best so far of each query, worst last; empty places are infinitely far
+    best = np.full((len(ids), k), np.inf), np.full((len(ids), k), np.iinfo(np.int64).max)
+    for batch in batches:
+        flat = list_arrays(batch.column("vec"))[0].reshape(-1, dim)
+        names = batch.column("vec_id").to_numpy()
+        for r in range(0, len(names), SCAN_ROWS):
+            stored, own = flat[r:r + SCAN_ROWS], names[r:r + SCAN_ROWS]
+            length = (stored ** 2).sum(axis=1)
+            for q in range(0, len(ids), SCAN_QUERIES):
+                part = slice(q, q + SCAN_QUERIES)
+                about = square[part, None] + length[None, :] - 2 * (queries[part] @ stored.T)
+                about[ids[part, None] == own[None, :]] = np.inf
+                slack = 1e-9 * (square[part] + length.max())  # far above the rounding of the products
+                bound = best[0][part, -1] ** 2
+                if len(own) > k and len(np.unique(own)) == len(own):
+                    bound = np.minimum(bound, np.partition(about, k - 1, axis=1)[:, k - 1])
+                x, y = np.nonzero(about <= np.where(np.isfinite(bound), bound + 2 * slack, np.finfo(float).max)[:, None])
+                for at in range(0, len(x), max(1, (1 << 22) // dim)):
+                    cut = slice(at, at + max(1, (1 << 22) // dim))
+                    score = np.sqrt(((stored[y[cut]] - queries[q + x[cut]]) ** 2).sum(axis=1))
+                    _keep(best, q + x[cut], score, own[y[cut]], k)
+    for q in range(0, len(ids), 1024):
+        near = [[{"score": s, "vec_id": v} for s, v in zip(a, b) if s < np.inf] for a, b in zip(best[0][q:q + 1024].tolist(), best[1][q:q + 1024].tolist())]
+        yield {"query_id": ids[q:q + 1024], "near": near}
+
+
+def _keep(best: tuple[np.ndarray, np.ndarray], query: np.ndarray, score: np.ndarray, ids: np.ndarray, k: int) -> None:
+    """Merge candidates into the k best of their queries; ties go to the smaller id, an id counts once."""
+    asked = np.unique(query)
+    query = np.concatenate((np.repeat(asked, k), query))
+    score, ids = np.concatenate((best[0][asked].ravel(), score)), np.concatenate((best[1][asked].ravel(), ids))
+    order = np.lexsort((score, ids, query))
+    query, score, ids = query[order], score[order], ids[order]
+    first = np.append(True, (query[1:] != query[:-1]) | (ids[1:] != ids[:-1])) | np.isinf(score)
+    query, score, ids = query[first], score[first], ids[first]
+    order = np.lexsort((ids, score, query))
+    query, score, ids = query[order], score[order], ids[order]
+    heads = np.flatnonzero(np.append(True, query[1:] != query[:-1]))
+    place = np.arange(len(query)) - np.repeat(heads, np.diff(np.append(heads, len(query))))
+    use = place < k
+    best[0][asked], best[1][asked] = np.inf, np.iinfo(np.int64).max
+    best[0][query[use], place[use]], best[1][query[use], place[use]] = score[use], ids[use]
 
 
 def _met(rows: DataFrame, k: int, dim: int) -> DataFrame:

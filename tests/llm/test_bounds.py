@@ -216,3 +216,33 @@ def test_places_are_united_text_by_text():
     got = {k: p for b in substring._united(batches) for k, p in zip(b.column("text_key").to_pylist(), b.column("places").to_pylist())}
     assert got == {k: sorted({int(x) for key, p in rows if key == k for x in p}) for k in {k for k, _ in rows}}
     assert list(substring._united([])) == []
+
+
+# ----------------------------------------------------------------------------- nearest neighbours
+@pytest.mark.parametrize("rows, queries, block", [(4096, 512, 1 << 26), (7, 3, 8 * 6 * 5)])
+def test_the_exact_scan_finds_all_with_ties_copies_and_repeats(spark, monkeypatch, rows, queries, block):
+    from martlens.llm import ann
+    monkeypatch.setattr(ann, "SCAN_ROWS", rows)
+    monkeypatch.setattr(ann, "SCAN_QUERIES", queries)
+    monkeypatch.setattr(ann, "QUERY_BYTES", block)
+    rng = np.random.default_rng(5)
+    x = rng.integers(-2, 3, size=(160, 6)).astype(float) * 1e3 + 1e6  # many ties, and products that cancel
+    x[40:120] = x[7]
+    data = [(k, v.tolist()) for k, v in enumerate(x)] + [(3, x[3].tolist()), (3, x[9].tolist())]
+    frame = spark.createDataFrame(data, "vec_id long, vec array<double>").repartition(3)
+    asked = spark.createDataFrame([(k, x[k].tolist()) for k in range(0, 160, 9)], "vec_id long, vec array<double>")
+    got = defaultdict(list)
+    for r in ann._merge(ann._exact(frame, asked, 12, 6), 12).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((r["score"], r["vec_id"]))
+    for q in range(0, 160, 9):
+        near = {}
+        for k, v in data:
+            if k != q:
+                near[k] = min(near.get(k, math.inf), float(np.sqrt(((np.array(v) - x[q]) ** 2).sum())))
+        assert got[q] == sorted((s, k) for k, s in near.items())[:12]
+
+
+def test_fewer_rows_than_asked_for(spark):
+    from martlens.llm import ann
+    frame = spark.createDataFrame([(1, [0.0, 1.0]), (2, [0.0, 3.0])], "vec_id long, vec array<double>")
+    assert [tuple(r) for r in ann._merge(ann._exact(frame, frame, 5, 2), 5).orderBy("query_id").collect()] == [(1, 1, 2, 2.0), (2, 1, 1, 2.0)]
