@@ -16,6 +16,8 @@ def number_rows(df: DataFrame, order_cols: list[str], out: str = "rn", partition
     row per partition, which is also all that is broadcast). ``order_cols`` has to name every column of
     ``df``: then only equal rows can tie, and both uses of the ranged rows read one exchange."""
     assert set(order_cols) == set(df.columns), "order by every column"
+    if df.sparkSession.conf.get("spark.sql.exchange.reuse", "true") != "true":
+        raise ValueError("row numbers need spark.sql.exchange.reuse: rows and their counts must come from one exchange")
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
               .withColumn("_at", F.monotonically_increasing_id())

@@ -28,3 +28,12 @@ def test_both_uses_read_one_exchange(spark):
 def test_all_columns_are_needed(spark):
     with pytest.raises(AssertionError):
         number_rows(spark.range(3).withColumn("x", F.lit(1)), ["id"])
+
+
+def test_numbering_refuses_to_run_without_reuse(spark):
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        with pytest.raises(ValueError, match="reuse"):
+            number_rows(spark.range(5).toDF("a"), ["a"])
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
