@@ -337,8 +337,11 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
     passages = materialize(texts.mapInArrow(lambda b: _passages(b, window), _PASSAGE_SCHEMA), "passages")
     crowded = materialize(passages.groupBy("anchor").agg(F.approx_count_distinct("passage").alias("n"))
                           .where(F.col("n") > ANCHOR_PASSAGES).select("anchor"), "crowded")
-    split = (passages.join(crowded, "anchor", "left_semi").mapInArrow(lambda b: _windows(b, window), _PASSAGE_SCHEMA)
-             .unionByName(passages.join(crowded, "anchor", "left_anti")).withColumn("passage_key", F.md5("passage")))
+    split = passages
+    if not crowded.isEmpty():
+        windows = materialize(passages.join(crowded, "anchor", "left_semi").mapInArrow(lambda b: _windows(b, window), _PASSAGE_SCHEMA), "windows")
+        split = windows.unionByName(passages.join(crowded, "anchor", "left_anti"))
+    split = split.withColumn("passage_key", F.md5("passage"))
     content = (split.groupBy("anchor", "passage_key").agg(F.min("doc_id").alias("first_doc"), F.min("passage").alias("passage"))
                .withColumn("size", F.length("passage") / 4))
     found = (content.repartition("anchor").sortWithinPartitions("anchor")
