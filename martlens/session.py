@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import time
 import zipfile
 
 from pyspark.sql import SparkSession
@@ -67,8 +68,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def work_dir(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediate tables."""
-    base = ensure_checkpoint_dir(spark)
-    return base.rstrip("/") + "/" + name
+    return f"{_work_root(spark)}/{name}"
+
+
+def _work_root(spark: SparkSession) -> str:
+    return ensure_checkpoint_dir(spark).rstrip("/") + "/martlens-work"
+
+
+def clean_work(spark: SparkSession, older_than_hours: float) -> list[str]:
+    """Remove intermediate tables that nothing has been written to for so long; returns their names. For a
+    deployment to call between runs: frames that still read such a table would lose it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_work_root(spark))
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    before, gone = (time.time() - 3600 * older_than_hours) * 1000, []
+    for found in fs.listStatus(path):
+        if found.getModificationTime() < before and fs.delete(found.getPath(), True):
+            gone.append(found.getPath().getName())
+    return sorted(gone)
 
 
 _shipped: set[str] = set()
