@@ -19,10 +19,12 @@ def number_rows(df: DataFrame, order_cols: list[str], out: str = "rn", partition
     if df.sparkSession.conf.get("spark.sql.exchange.reuse", "true") != "true":
         raise ValueError("row numbers need spark.sql.exchange.reuse: rows and their counts must come from one exchange")
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+    dealt = df.repartitionByRange(n, *order_cols)
+    ranged = (dealt.sortWithinPartitions(*order_cols)
               .withColumn("_at", F.monotonically_increasing_id())
               .withColumn("_part", F.shiftright("_at", 33)))
-    sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
+    # counted as they come: only the numbered rows are sorted
+    sizes = dealt.groupBy(F.spark_partition_id().cast("bigint").alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
     return (ranged.join(F.broadcast(offsets), "_part")

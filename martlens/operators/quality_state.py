@@ -20,6 +20,7 @@ import dataclasses
 import datetime as dt
 import functools
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -76,28 +77,29 @@ def _counts(t: RetailTables, name: str) -> DataFrame:
 
 
 def _updated_counts(old: DataFrame | None, ch: dict[int, RetailTables], name: str) -> DataFrame:
-    """The counts after the changes, and before them in columns old_*."""
+    """The counts after the changes."""
     key, cols = COUNTED[name]
     delta = _signed(ch, lambda t: _counts(t, name))
-    new = delta.select(key, *[F.when(F.col("what") == c, F.col("amount") * F.col("_sign")).otherwise(0).alias(c) for c in cols],
-                       *[F.lit(0).cast("bigint").alias(f"old_{c}") for c in cols])
+    new = delta.select(key, *[F.when(F.col("what") == c, F.col("amount") * F.col("_sign")).otherwise(0).alias(c) for c in cols])
     if old is not None:
-        new = old.select(key, *cols, *[F.col(c).alias(f"old_{c}") for c in cols]).unionByName(new)
-    return new.groupBy(key).agg(*[F.sum(c).cast("bigint").alias(c) for c in (*cols, *(f"old_{c}" for c in cols))])
+        new = old.select(key, *cols).unionByName(new)
+    new = new.groupBy(key).agg(*[F.sum(c).cast("bigint").alias(c) for c in cols])
+    return new.where(functools.reduce(lambda a, b: a | b, [F.col(c) != 0 for c in cols]))
 
 
-def _lost(spark: SparkSession, old: DataFrame | None, ch: dict[int, RetailTables], counts: DataFrame, key: str, refs: str, rows: str, pick, facts) -> DataFrame:
-    """(key, row id, times): rows that refer to an unknown key."""
+def _lost(old: DataFrame | None, was: DataFrame | None, ch: dict[int, RetailTables], counts: DataFrame, key: str, refs: str, rows: str, pick, facts) -> DataFrame:
+    """(key, row id, times): rows that refer to an unknown key. ``was`` and ``counts`` are the counts before and after."""
     known = counts.where(F.col(key).isNotNull() & (F.col(rows) > 0)).select(key)
-    # keys that were known and no longer are: all their rows are asked for, what the change set says of them is in those
-    dropped = counts.where(F.col(key).isNotNull() & (F.col(rows) <= 0) & (F.col(f"old_{rows}") > 0) & (F.col(refs) > 0)).select(key)
-    moved = _signed(ch, pick).select(key, "id", F.col("_sign").alias("times"))
+    now = _signed(ch, pick).select(key, "id", F.col("_sign").alias("times"))
     if old is not None:
-        moved = old.unionByName(moved)
-    now = moved.join(known, key, "left_anti").join(dropped, key, "left_anti")
-    if old is not None and not dropped.isEmpty():
-        now = now.unionByName(facts().join(dropped, key, "left_semi").select(key, "id", F.lit(1).cast("bigint").alias("times")))
-    return now.groupBy(key, "id").agg(F.sum("times").cast("bigint").alias("times")).where("times > 0")
+        # keys that were known and no longer are: all their rows are asked for, what the change set says of them is in those
+        dropped = counts.where(F.col(key).isNotNull() & (F.col(rows) <= 0) & (F.col(refs) > 0)).select(key).join(
+            was.where(F.col(rows) > 0).select(key), key, "left_semi")
+        now = old.unionByName(now)
+        if not dropped.isEmpty():
+            now = now.join(dropped, key, "left_anti").unionByName(
+                facts().join(dropped, key, "left_semi").select(key, "id", F.lit(1).cast("bigint").alias("times")))
+    return now.join(known, key, "left_anti").groupBy(key, "id").agg(F.sum("times").cast("bigint").alias("times")).where("times > 0")
 
 
 def _bought(items: DataFrame, orders: DataFrame) -> DataFrame:
@@ -105,35 +107,40 @@ def _bought(items: DataFrame, orders: DataFrame) -> DataFrame:
     return items.select("order_id", "product_id").join(orders.select("order_id", "customer_id"), "order_id").select("product_id", "customer_id")
 
 
-def update(spark: SparkSession, old: State | None, changes: Changes, facts: RetailTables, p: Params) -> State:
+def update(spark: SparkSession, old: State | None, changes: Changes, facts: RetailTables, p: Params,
+           keep: Callable[[str, DataFrame], DataFrame] = lambda name, df: df) -> State:
     """The state after ``changes``. ``facts`` are the tables as they are now; they are read for the keys named above only,
-    and not at all for a first state, whose change set holds every row in ``after``."""
-    ch = {1: changes.side(spark, "after"), -1: changes.side(spark, "before")}
+    and not at all for a first state, whose change set holds every row in ``after``. ``keep`` may write a part of the
+    state and give it back as it is read from there: parts that are made from others then do not make these again."""
+    ch = {1: changes.side(spark, "after")} | ({-1: changes.side(spark, "before")} if changes.before else {})
     part = lambda name: None if old is None else old[name]
     new: State = {}
     rows = _signed(ch, lambda t: _own_violations(t, p)).withColumn("weight", F.col("weight") * F.col("_sign")).drop("_sign")
     if old is not None:
         rows = rows.unionByName(old["rows"])
-    new["rows"] = rows.groupBy("seq", *Q.SORT_KEYS, "sample").agg(F.sum("weight").cast("bigint").alias("weight")).where("weight <> 0")
-    full = {name: _updated_counts(part(name), ch, name) for name in COUNTED}
-    for name, (key, cols) in COUNTED.items():
-        new[name] = full[name].select(key, *cols).where(functools.reduce(lambda a, b: a | b, [F.col(c) != 0 for c in cols]))
-    new["lost_orders"] = _lost(spark, part("lost_orders"), ch, full["customers"], "customer_id", "n_orders", "n_customers",
-                               lambda t: t.orders.select("customer_id", F.col("order_id").alias("id")),
-                               lambda: facts.orders.select("customer_id", F.col("order_id").alias("id")))
-    new["lost_items"] = _lost(spark, part("lost_items"), ch, full["products"], "product_id", "n_items", "n_products",
-                              lambda t: t.order_items.select("product_id", F.col("order_item_id").alias("id")),
-                              lambda: facts.order_items.select("product_id", F.col("order_item_id").alias("id")))
+    rows = rows.groupBy("seq", *Q.SORT_KEYS, "sample").agg(F.sum("weight").cast("bigint").alias("weight")).where("weight <> 0")
+    new["rows"] = keep("rows", rows)
+    for name in COUNTED:
+        new[name] = keep(name, _updated_counts(part(name), ch, name))
+    new["lost_orders"] = keep("lost_orders", _lost(
+        part("lost_orders"), part("customers"), ch, new["customers"], "customer_id", "n_orders", "n_customers",
+        lambda t: t.orders.select("customer_id", F.col("order_id").alias("id")),
+        lambda: facts.orders.select("customer_id", F.col("order_id").alias("id"))))
+    new["lost_items"] = keep("lost_items", _lost(
+        part("lost_items"), part("products"), ch, new["products"], "product_id", "n_items", "n_products",
+        lambda t: t.order_items.select("product_id", F.col("order_item_id").alias("id")),
+        lambda: facts.order_items.select("product_id", F.col("order_item_id").alias("id"))))
     of_review = ["review_id", "product_id", "customer_id", "review_date"]
     reviews = _signed(ch, lambda t: t.customer_reviews.where(F.col("is_verified_purchase") == F.lit(True)).select(*of_review)).withColumnRenamed("_sign", "times")
     if old is not None:
         reviews = reviews.unionByName(old["reviews"])
-    new["reviews"] = reviews.groupBy(*of_review).agg(F.sum("times").cast("bigint").alias("times")).where("times <> 0")
+    new["reviews"] = keep("reviews", reviews.groupBy(*of_review).agg(F.sum("times").cast("bigint").alias("times")).where("times <> 0"))
     pair = ["product_id", "customer_id"]
     asked = new["reviews"].select(*pair).where("product_id is not null and customer_id is not null").distinct()
     if old is None:
-        counted = _bought(ch[1].order_items, ch[1].orders).withColumn("n_bought", F.lit(1).cast("bigint"))
-        new["pairs"] = asked.join(counted.groupBy(*pair).agg(F.sum("n_bought").alias("n_bought")), pair, "left").select(*pair, F.coalesce("n_bought", F.lit(0)).alias("n_bought"))
+        # only purchases that a review asks for are counted
+        counted = _bought(ch[1].order_items, ch[1].orders).join(asked, pair, "left_semi").groupBy(*pair).agg(F.count(F.lit(1)).alias("n_bought"))
+        pairs = asked.join(counted, pair, "left").select(*pair, F.coalesce("n_bought", F.lit(0)).cast("bigint").alias("n_bought"))
     else:
         moved = _signed(ch, lambda t: _bought(t.order_items, t.orders)).withColumnRenamed("_sign", "n_bought")
         held = old["pairs"].unionByName(moved.join(old["pairs"].select(*pair), pair, "left_semi")).groupBy(*pair).agg(F.sum("n_bought").cast("bigint").alias("n_bought"))
@@ -142,7 +149,8 @@ def update(spark: SparkSession, old: State | None, changes: Changes, facts: Reta
         if not first.isEmpty():
             counted = _bought(facts.order_items, facts.orders).join(first, pair, "left_semi").groupBy(*pair).agg(F.count(F.lit(1)).alias("n_bought"))
             held = held.unionByName(first.join(counted, pair, "left").select(*pair, F.coalesce("n_bought", F.lit(0)).cast("bigint").alias("n_bought")))
-        new["pairs"] = held
+        pairs = held
+    new["pairs"] = keep("pairs", pairs)
     return new
 
 
@@ -199,8 +207,11 @@ def fold_changes(spark: SparkSession, root: str, changes: Changes, facts: Retail
         if name in folded:
             return None
         folder = versions.new_folder(root)
-        for table, df in update(spark, old, changes, facts, p).items():
+
+        def keep(table: str, df: DataFrame) -> DataFrame:
             df.write.parquet(f"{folder}/{table}")
+            return spark.read.schema(df.schema).parquet(f"{folder}/{table}")
+        update(spark, old, changes, facts, p, keep)
         return {"data": folder.rsplit("/", 1)[1], "folded": [*folded, name]}
     done = versions.commit(spark, root, build)
     return done and done["version"]
@@ -208,15 +219,24 @@ def fold_changes(spark: SparkSession, root: str, changes: Changes, facts: Retail
 
 def dq_run_incremental(t: RetailTables, p: Params) -> DataFrame:
     """The healed tables in two steps: a state of all orders before the month of the latest check date, and a change set
-    with that month's orders and items; then the issues from the state."""
+    with that month's orders and items; then the issues from the state. Healed orders, and items, are written once, in
+    a part a change set, and the many steps of the updates read them from there."""
     spark, root = t.spark, work_dir(t.spark, f"dq-state-{uuid.uuid4().hex[:12]}")
+    t.store(f"{root}/tables", "order_items", "customer_reviews")
     healed, _ = heal(t, p)
+
+    def parted(name: str, df: DataFrame) -> DataFrame:
+        df = df.select(*healed[name].columns, "late")
+        df.write.partitionBy("late").parquet(f"{root}/changes/{name}")
+        return spark.read.schema(df.schema).parquet(f"{root}/changes/{name}")
     late = F.coalesce(F.col("order_date") >= F.lit(p.dq_as_of.replace(day=1)), F.lit(False))
-    late_orders = healed.orders.where(late)
-    ids = late_orders.select("order_id").distinct()
-    first = {n: healed[n] for n in CHANGED} | {"orders": healed.orders.where(~late), "order_items": healed.order_items.join(ids, "order_id", "left_anti")}
+    orders = parted("orders", healed.orders.withColumn("late", late))
+    ids = orders.where("late").select("order_id", "late").distinct()
+    items = parted("order_items", healed.order_items.join(ids, "order_id", "left").withColumn("late", F.coalesce("late", F.lit(False))))
+    healed = healed.replace(orders=orders.drop("late"), order_items=items.drop("late"))
+    first = {n: healed[n] for n in CHANGED} | {"orders": orders.where("not late").drop("late"), "order_items": items.where("not late").drop("late")}
     fold_changes(spark, root, Changes({}, first), healed, p, "first")
-    fold_changes(spark, root, Changes({}, {"orders": late_orders, "order_items": healed.order_items.join(ids, "order_id", "left_semi")}), healed, p, "late")
+    fold_changes(spark, root, Changes({}, {"orders": orders.where("late").drop("late"), "order_items": items.where("late").drop("late")}), healed, p, "late")
     return issues(stored(spark, root)[0], p)
 
 

@@ -25,6 +25,18 @@ class RetailTables:
         self._cache: dict[str, DataFrame] = {}
         #: Folders of the tables that are stored as they are read: a stream may read them directly.
         self.paths: dict[str, str] = {}
+        #: Tables that are computed from others each time they are read.
+        self.derived: set[str] = set()
+
+    def store(self, root: str, *names: str) -> None:
+        """Write those of the named tables that are derived, in the order given, and read them from their files from
+        now on, also where tables that are built later derive from them. Tables that are stored are not copied."""
+        from martlens.sources.lake import read_table, write_lake
+        for name in names:
+            if name in self.derived:
+                write_lake(self, root, names=[name])
+                self._cache[name] = read_table(self.spark, root, name)
+                self.derived.discard(name)
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._cache:
@@ -50,6 +62,7 @@ class RetailTables:
         out._cache = dict(self._cache)
         out._cache.update(dfs)
         out.paths = {k: v for k, v in self.paths.items() if k not in dfs}
+        out.derived = self.derived - set(dfs)
         for k, v in dfs.items():
             out._builders[k] = (lambda v=v: v)
         return out
@@ -74,6 +87,7 @@ class RetailTables:
             "promotion_usage": fb.promotion_usage, "dq_issues": fb.dq_issues,
             "data_fix_audit": fb.data_fix_audit,
         })
+        t.derived = {"orders", "order_items", "customer_reviews"}
         return t
 
     @staticmethod

@@ -210,3 +210,32 @@ def test_change_sets_of_one_table_and_of_nothing(spark, tmp_path):
     quality_state.fold_changes(spark, root, quality_state.Changes({}, {}), unreadable(spark, t), P, "nothing")
     assert summary(quality_state.issues(quality_state.stored(spark, root)[0], P)) == want
     assert isinstance(quality_state.Changes({}, {}).side(spark, "after"), RetailTables)
+
+
+def test_the_incremental_run_derives_the_items_once(spark, tmp_path):
+    """All steps read written tables: numbering the order lines, which ranges them, is done once, whatever steps follow."""
+    from martlens import plans
+    t = plans.tables.RetailTables.from_fixture(spark, "/root/testdata/sf0.001")
+    build, times = t._builders["order_items"], []
+    numbered = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            numbered.add(b.num_rows)
+            yield b
+    items = build()
+    n = items.count()
+    t._builders["order_items"] = lambda: times.append(1) or items.mapInArrow(counted, items.schema)
+    got = summary(quality_state.dq_run_incremental(t, P))
+    assert numbered.value == n and times == [1]
+    assert got == summary(quality.dq_run_all(plans.tables.RetailTables.from_fixture(spark, "/root/testdata/sf0.001"), P))
+
+
+def test_a_repeated_or_null_order_id_is_parted_as_by_a_semi_join(spark):
+    """Items of an id that has a late and an early order go with the late ones; items of no order with the first ones."""
+    late, early = dt.date(2001, 7, 3), dt.date(2001, 6, 3)
+    t = micro_tables(spark, orders=[(1, 5, late, "s", "p", "IN", 1, None), (1, 5, early, "s", "p", "IN", 1, None), (2, 5, None, "s", "p", "IN", 1, None), (None, 5, late, "s", "p", "IN", 1, None)],
+                     order_items=[(1, 1, 7, 1, 1, None), (2, 2, 7, 0, 1, None), (3, None, 7, 1, -1, None), (4, 99, 7, 1, 1, 130)], customer_reviews=[(1, 7, 5, 5, "t", late, True)])
+    quality_state.dq_run_incremental(t, P)
+    got = {(r.check_name, r.row_count) for r in quality_state.dq_run_incremental(t, P).collect()}
+    assert {("order_items_invalid_product", 4), ("negative_quantity_or_price", 2), ("invalid_discount_percent", 1)} <= got
