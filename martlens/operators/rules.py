@@ -12,6 +12,7 @@ import functools
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from martlens import schemas
 from martlens.params import Params
@@ -97,20 +98,37 @@ def _row_rules(t: RetailTables, tbl: str, rules: list) -> DataFrame:
             .select(*[F.col(f"hit.{c}").alias(c) for c in OUT]))
 
 
+def _narrow(t: RetailTables, columns) -> str:
+    """The type in which columns, given with their tables, meet: bigint where all are whole numbers, which their text then
+    tells apart as well, else string."""
+    return "bigint" if all(isinstance(t[tbl].schema[col].dataType, IntegralType) for tbl, col in columns) else "string"
+
+
 def _foreign_keys(t: RetailTables, rules: list[ForeignKey]) -> DataFrame:
     """All foreign keys in one join: each child is read once and gives a reference a key, each parent is read
-    once and gives its keys; a NULL reference is legal."""
+    once and gives its keys; a NULL reference is legal. Rows are sent with the numbers of their rule and parent key, and
+    whole-number keys as numbers: names and texts come back for the breaches only. A task holds its share of the distinct
+    parent keys in a hash table and lets the references, which are many times more, pass by it unsorted."""
+    parents = list(dict.fromkeys((r.parent, r.parent_col) for r in rules))
+    kind = _narrow(t, [(r.tbl, r.col) for r in rules] + parents)
+    of_row = _narrow(t, [(r.tbl, schemas.PRIMARY_KEYS[r.tbl]) for r in rules])
     refs, keys = [], []
     for tbl in dict.fromkeys(r.tbl for r in rules):
-        own = [F.when(F.col(r.col).isNotNull(), F.struct(F.lit(r.col).alias("col"), F.lit(r.parent).alias("parent"), F.lit(r.parent_col).alias("parent_col"),
-                                                         F.col(r.col).cast("string").alias("ref"))) for r in rules if r.tbl == tbl]
-        refs.append(t[tbl].select(F.lit(tbl).alias("tbl"), F.col(schemas.PRIMARY_KEYS[tbl]).cast("string").alias("row_key"),
-                                  F.explode(F.array_compact(F.array(*own))).alias("r")).select("tbl", "row_key", "r.*"))
-    for parent, col in dict.fromkeys((r.parent, r.parent_col) for r in rules):
-        keys.append(t[parent].select(F.lit(parent).alias("parent"), F.lit(col).alias("parent_col"), F.col(col).cast("string").alias("ref")))
-    known = functools.reduce(DataFrame.unionByName, keys).distinct()
-    bad = functools.reduce(DataFrame.unionByName, refs).join(known, ["parent", "parent_col", "ref"], "left_anti")
-    return bad.select(F.lit("foreign_key").alias("rule"), "tbl", "col", "row_key", F.col("ref").alias("value"))
+        own = [F.when(F.col(r.col).isNotNull(), F.struct(F.lit(n).cast("tinyint").alias("rule"), F.lit(parents.index((r.parent, r.parent_col))).cast("tinyint").alias("parent"),
+                                                         F.col(r.col).cast(kind).alias("ref"))) for n, r in enumerate(rules) if r.tbl == tbl]
+        refs.append(t[tbl].select(F.col(schemas.PRIMARY_KEYS[tbl]).cast(of_row).alias("row_key"),
+                                  F.explode(F.array_compact(F.array(*own))).alias("r")).select("row_key", "r.*"))
+    for n, (parent, col) in enumerate(parents):
+        keys.append(t[parent].select(F.lit(n).cast("tinyint").alias("parent"), F.col(col).cast(kind).alias("ref")))
+    known = functools.reduce(DataFrame.unionByName, keys)
+    # a fixed number of partitions, on the other side of the join too: else they are merged by their packed size, and the tables grow
+    known = known.repartition(int(known.sparkSession.conf.get("spark.sql.shuffle.partitions")), "parent", "ref").distinct()
+    bad = functools.reduce(DataFrame.unionByName, refs).join(known.hint("shuffle_hash"), ["parent", "ref"], "left_anti")
+
+    def of_rule(attr: str):
+        return F.array(*[F.lit(getattr(r, attr)) for r in rules])[F.col("rule").cast("int")].alias(attr)
+    return bad.select(of_rule("tbl"), of_rule("col"), F.col("row_key").cast("string").alias("row_key"), F.col("ref").cast("string").alias("value")).select(
+        F.lit("foreign_key").alias("rule"), "tbl", "col", "row_key", "value")
 
 
 def validate(t: RetailTables, rules) -> DataFrame:

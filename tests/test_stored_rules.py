@@ -147,3 +147,28 @@ def test_the_ghost_customer_is_left_out_on_demand(spark, tables):
     for q in (customers.q04_country_aov, customers.q05_signups_by_month, customers.q06_customer_ltv, customers.q24_rfm):
         rows = [sorted(map(str, q(t, p).collect())) for t, p in ((tables, P), (healed, without), (healed, P))]
         assert rows[0] == rows[1] != rows[2], q.__name__
+
+
+def test_foreign_keys_sort_no_references(spark, tables, tmp_path):
+    """References pass a hash table of the parents' keys as numbers; they are neither sorted nor sent with names."""
+    lake.write_lake(tables, str(tmp_path))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = rules.validate(RetailTables.from_lake(spark, str(tmp_path)), rules.FK_RULES)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "ShuffledHashJoin" in text and "SortMergeJoin" not in text and "Sort [" not in text
+
+
+def test_foreign_keys_of_text_and_of_other_whole_numbers(spark):
+    """Whole numbers of any width meet as numbers, other keys as texts; the rows say which reference is broken."""
+    t = RetailTables.from_frames(spark, {
+        "orders": spark.createDataFrame([("a", 1, "x"), ("b", 2, "01"), ("c", None, None)], "order_id string, customer_id int, promotion_id string"),
+        "customers": spark.createDataFrame([(1,), (1,), (None,)], "customer_id bigint"),
+        "promotions": spark.createDataFrame([("x",), ("1",)], "promotion_id string")})
+    own = [rules.ForeignKey("orders", "customer_id", "customers", "customer_id"), rules.ForeignKey("orders", "promotion_id", "promotions", "promotion_id")]
+    want = {("foreign_key", "orders", "customer_id", "b", "2"), ("foreign_key", "orders", "promotion_id", "b", "01")}
+    assert set(map(tuple, rules.validate(t, own).collect())) == want
+    assert set(map(tuple, rules.validate(t, own[:1]).collect())) == {r for r in want if r[2] == "customer_id"}
