@@ -296,12 +296,30 @@ def facts_between(t: RetailTables, start: dt.date | None = None, before: dt.date
     return t.replace(**facts)
 
 
+def facts_split(t: RetailTables, start: dt.date, folder: str) -> tuple[RetailTables, RetailTables]:
+    """``facts_between`` before a date, with the rest, and from it on. One pass a table writes both parts, each into files of
+    its own, so that no rollup splits the facts again."""
+    def split(name: str, df: DataFrame) -> DataFrame:
+        df = df.select(*t[name].columns, "late")
+        df.write.partitionBy("late").parquet(f"{folder}/{name}")
+        return t.spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+    parts = {"orders": split("orders", t.orders.withColumn("late", F.coalesce(F.col("order_date") >= lit_date(start), F.lit(False))))}
+    # an id that orders of both parts have takes its items and uses into both; what has no order is the rest
+    ids = parts["orders"].groupBy("order_id").agg(F.min("late").alias("least"), F.max("late").alias("most"))
+    for name in ("order_items", "promotion_usage"):
+        both = F.when(F.col("least") == F.col("most"), F.array("least")).otherwise(F.array("least", "most"))
+        own = t[name].join(ids, "order_id", "left").withColumn("late", F.explode(F.when(F.col("least").isNull(), F.array(F.lit(False))).otherwise(both)))
+        parts[name] = split(name, own)
+    return tuple(t.replace(**{n: df.where(F.col("late") == late).drop("late") for n, df in parts.items()}) for late in (False, True))
+
+
 def b28_from_rollups(t: RetailTables, p: Params) -> DataFrame:
     """The row from stored rollups: all before the month of ``brief_as_of`` is folded in first, then that month."""
     root = work_dir(t.spark, f"rollups-{uuid.uuid4().hex[:12]}")
-    month = p.brief_as_of.replace(day=1)
-    fold_batch(t.spark, root, facts_between(t, before=month, rest=True), "history")
-    fold_batch(t.spark, root, facts_between(t, start=month), "month")
+    t.store(f"{root}/tables", "order_items")
+    history, month = facts_split(t, p.brief_as_of.replace(day=1), f"{root}/facts")
+    fold_batch(t.spark, root, history, "history")
+    fold_batch(t.spark, root, month, "month")
     return brief_row(stored(t.spark, root)[0], t, p)
 
 

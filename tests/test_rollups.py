@@ -119,3 +119,36 @@ def test_empty_tables_and_null_keys(spark):
         order_items=[(1, 10, 7, 1, 1, None), (2, 10, None, 2, 3, 20), (3, 999, 7, 1, 4, 10), (4, None, 8, 1, 1, 0), (5, 13, 55, 900, 1, 0)],
         inventory=[(1, 7, 3, "W", None, None)][:0],
         promotion_usage=[(1, 1, 10, True, day), (2, 1, 10, True, day), (3, 2, 999, True, day), (4, 2, None, True, day)]))
+
+
+def test_facts_are_split_as_by_joins_in_one_pass(spark, tmp_path):
+    """Ids that orders of both parts have, null ids and dates, and items and uses of no order."""
+    day, month = dt.date(2001, 6, 1), dt.date(2001, 7, 1)
+    t = micro_tables(
+        spark, orders=[(1, 1, day, "s", "p", "IN", 1, None), (1, 1, month, "s", "p", "IN", 2, None), (2, 1, None, "s", "p", "IN", 3, None), (2, 1, None, "s", "p", "IN", 3, None),
+                       (3, 1, dt.date(2001, 7, 9), "s", "p", "IN", 4, None), (None, 1, month, "s", "p", "IN", 5, None), (4, 1, dt.date(2001, 6, 30), "s", "p", "IN", 6, None)],
+        order_items=[(k, o, 7, 1, 1, None) for k, o in enumerate([1, 1, 2, 3, 4, None, 99])], promotion_usage=[(k, 1, o, True, day) for k, o in enumerate([1, 2, 3, None, 99])])
+    want = brief_rollup.facts_between(t, before=month, rest=True), brief_rollup.facts_between(t, start=month)
+    got = brief_rollup.facts_split(t, month, str(tmp_path / "facts"))
+    for a, b in zip(want, got):
+        for name in ("orders", "order_items", "promotion_usage"):
+            assert sorted(map(str, a[name].select(t[name].columns).collect())) == sorted(map(str, b[name].collect())), name
+
+
+def counted_items(spark):
+    """Tables whose items say how many rows of them were made."""
+    t, made = RetailTables.from_fixture(spark, SF), spark.sparkContext.accumulator(0)
+    items = t._builders["order_items"]()
+
+    def counted(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+    t._builders["order_items"] = lambda: items.mapInArrow(counted, items.schema)
+    return t, made, items.count()
+
+
+def test_the_row_from_rollups_derives_the_items_once(spark, tables):
+    t, made, n = counted_items(spark)
+    got = brief_rollup.b28_from_rollups(t, P).collect()
+    assert made.value == n and got == b28_brief_row(tables, P).collect()
