@@ -120,6 +120,7 @@ def _new_folder(t: RetailTables, name: str) -> str:
 def fn_run_checks(t: RetailTables, p: Params) -> DataFrame:
     """The procedure with its side effects: runs the job in a folder of its own, returns what it wrote."""
     root = _new_folder(t, "dq-run")
+    t.store(_new_folder(t, "dq-run-tables"), "order_items")  # read by the heal and by most checks
     return run_records(t.spark, root, run_data_quality_job(t.spark, t, p, root))
 
 

@@ -176,3 +176,16 @@ def test_stream_monitor_on_order_items(spark, tables, scratch):
     assert got == {(r.check_name, r.row_count) for r in batch} and got
     notes = spark.read.parquet(os.path.join(scratch, "isink", "notifications")).collect()
     assert {n.payload.split("|")[0] for n in notes} == {c for c, _ in got}
+
+
+def test_the_job_derives_the_items_once(spark):
+    from martlens.operators.dq_job import fn_run_checks
+    t, made = RetailTables.from_fixture(spark, SF), spark.sparkContext.accumulator(0)
+    items = t._builders["order_items"]()
+
+    def counted(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+    t._builders["order_items"] = lambda: items.mapInArrow(counted, items.schema)
+    assert fn_run_checks(t, P).count() > 0 and made.value == items.count()
