@@ -44,6 +44,15 @@ class WaveletMatrix:
         return self._down(symbol, at) - self.first[symbol]
 
 
+def _ranked(values: np.ndarray) -> np.ndarray:
+    """Rank of each value among the different ones, from 0."""
+    order = np.argsort(values)
+    ordered = values[order]
+    rank = np.empty(len(values), dtype=np.int32 if len(values) < 1 << 31 else np.int64)
+    rank[order] = np.cumsum(np.append(False, ordered[1:] != ordered[:-1]), dtype=rank.dtype)
+    return rank
+
+
 class FMIndex:
     """Index of many word sequences for windows of ``window`` words.
 
@@ -54,25 +63,29 @@ class FMIndex:
 
     def __init__(self, ids: np.ndarray, owner: np.ndarray, window: int):
         n, self.window = len(ids), window
-        ranks, depth = [np.unique(ids, return_inverse=True)[1].astype(np.int64)], 1
+        ranks, depth = [_ranked(ids)], 1
         while depth <= window:
-            rank = ranks[-1]
-            later = np.concatenate((rank[depth:] + 1, np.zeros(min(depth, n), dtype=np.int64)))[:n]
-            ranks.append(np.unique(rank * (n + 2) + later, return_inverse=True)[1].astype(np.int64))
+            pairs = ranks[-1].astype(np.int64) * (n + 2)
+            pairs[:max(n - depth, 0)] += ranks[-1][depth:]
+            pairs[:max(n - depth, 0)] += 1
+            ranks.append(_ranked(pairs))
             depth *= 2
+        del pairs
         order = np.argsort(ranks[-1], kind="stable")
+        heads, which = self._groups(ranks, order, window)
+        self.least = np.minimum.reduceat(owner[order], heads)[which]
+        heads, which = self._groups(ranks, order, window - 1)
+        del ranks
+        self.low, self.high = heads[which], np.append(heads[1:], n)[which]
+        del which
         alphabet = int(ids.max()) + 2
         self.unknown = alphabet - 1  # a word that the index does not hold
         self.transform = WaveletMatrix(ids[order - 1], alphabet)
         self.starts = np.concatenate(([0], np.cumsum(np.bincount(ids, minlength=alphabet))))
-        self.low, self.high = self._groups(ranks, order, window - 1)
-        low, _ = self._groups(ranks, order, window)
-        heads = np.flatnonzero(low == np.arange(n))
-        self.least = np.minimum.reduceat(owner[order], heads)[np.searchsorted(heads, low)]
 
     @staticmethod
     def _groups(ranks: list[np.ndarray], order: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-        """First and past-the-last place of the suffixes that agree in ``depth`` words."""
+        """First places of the groups of suffixes that agree in ``depth`` words, and the group of each suffix."""
         n = len(order)
         differ, at = np.zeros(n, dtype=bool), 0
         for k in range(len(ranks) - 1, -1, -1):
@@ -83,8 +96,9 @@ class FMIndex:
                 at += 1 << k
         differ[0] = True
         heads = np.flatnonzero(differ)
-        which = np.cumsum(differ) - 1
-        return heads[which], np.append(heads[1:], n)[which]
+        which = np.cumsum(differ, dtype=ranks[0].dtype)
+        which -= 1
+        return heads.astype(which.dtype), which
 
     def extend(self, low: np.ndarray, high: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Backward step: the range of the match with ``word`` before it."""

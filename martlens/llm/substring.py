@@ -258,6 +258,21 @@ class _Numbers(dict):
         return self.setdefault(word, len(self) + 1)
 
 
+def _numbered(passages: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """The words of all passages as numbers from 1, each passage closed by a 0, and its words. The
+    words of one chunk are held at a time, and each different word once."""
+    number = _Numbers()
+    ids, sizes = [], []
+    for chunk in passages.chunks:
+        for text in chunk.to_pylist():
+            words = text.split()
+            own = np.zeros(len(words) + 1, dtype=np.int32)
+            own[:-1] = [number[w] for w in words]
+            ids.append(own)
+            sizes.append(len(words))
+    return np.concatenate(ids), np.array(sizes, dtype=np.int64)
+
+
 def _searched(batches, window: int):
     """FM-indexes over the passages of a partition, whole anchors at a time; every passage is
     streamed through its shard's index for the first document of each of its windows."""
@@ -266,14 +281,8 @@ def _searched(batches, window: int):
 
     def search():
         rows = pa.Table.from_batches(held)
-        texts = rows.column("passage").to_pylist()
-        number = _Numbers()
-        words = b" ".join(texts).split()
-        sizes = np.array([t.count(b" ") + 1 for t in texts], dtype=np.int64)
+        ids, sizes = _numbered(rows.column("passage"))
         end = np.cumsum(sizes + 1) - 1
-        ids = np.zeros(len(words) + len(texts), dtype=np.int64)
-        ids[np.arange(len(words)) + np.repeat(np.arange(len(texts)), sizes)] = np.fromiter(
-            map(number.__getitem__, words), dtype=np.int64, count=len(words))
         begin = end - sizes
         owner = np.repeat(rows.column("first_doc").to_numpy(), sizes + 1)
         found, cuts = FMIndex(ids, owner, window).matches(ids, begin, end)

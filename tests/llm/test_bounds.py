@@ -218,6 +218,38 @@ def test_places_are_united_text_by_text():
     assert list(substring._united([])) == []
 
 
+def test_index_of_a_full_anchor_in_little_memory():
+    """4,000 passages of one anchor, which is never cut: right answers, and less than 170 bytes a word held by the search."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from martlens.llm import substring
+    rng = np.random.default_rng(3)
+    vocabulary, window = [b"w%d" % k for k in range(6000)], 25
+    words = [[vocabulary[i] for i in rng.integers(0, 6000, 12)] + vocabulary[:13] + [vocabulary[i] for i in rng.integers(0, 6000, 12)] for _ in range(3990)]
+    words += [words[k] + [b"more"] for k in range(10)]  # the windows of earlier ones and one of their own
+    texts = [b" ".join(w) for w in words]
+    docs = rng.permutation(len(texts))
+    batches = [pa.RecordBatch.from_arrays(
+        [pa.array([7] * len(part), pa.int64()), pa.array([str(k) for k in part]), pa.array(docs[part], pa.int64()),
+         pa.array([texts[k] for k in part], pa.binary()), pa.array([len(texts[k]) / 4 for k in part])],
+        names=["anchor", "passage_key", "first_doc", "passage", "size"]) for part in np.array_split(np.arange(len(texts)), 16)]
+    tracemalloc.start()
+    try:
+        (out,) = substring._searched(iter(batches), window)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    first: dict = {}
+    for doc, w in zip(docs.tolist(), words):
+        for k in range(len(w) - window + 1):
+            first[tuple(w[k:k + window])] = min(doc, first.get(tuple(w[k:k + window]), doc))
+    got = dict(zip(out.column("passage_key").to_pylist(), out.column("firsts").to_pylist()))
+    assert got == {str(k): [first[tuple(w[i:i + window])] for i in range(len(w) - window + 1)] for k, w in enumerate(words)}
+    assert most < 170 * sum(len(w) + 1 for w in words)
+
+
 # ----------------------------------------------------------------------------- nearest neighbours
 @pytest.mark.parametrize("rows, queries, block", [(4096, 512, 1 << 26), (7, 3, 8 * 6 * 5)])
 def test_the_exact_scan_finds_all_with_ties_copies_and_repeats(spark, monkeypatch, rows, queries, block):
